@@ -18,6 +18,7 @@ from docsieve.functions.text import (
     surface_forms,
 )
 from docsieve.functions.predicates import has_any_term
+from docsieve.functions.vectors import let
 from docsieve.operators.select import DEFAULT_ROWS, top_k
 
 K1 = 1.2
@@ -30,11 +31,18 @@ def bm25_weight(n: Column, df: Column, tf: Column, dl: Column, avgdl: Column) ->
     return idf * tf / (tf + K1 * (1 - B + B * dl / avgdl))
 
 
-def term_frequencies(df: DataFrame, text: Column | str, terms: Sequence[str]) -> DataFrame:
-    """Add ``dl`` (document length) and ``tf`` (one count per query term)."""
-    bag = df.withColumn("_terms", index_terms(text))
-    counts = [F.size("_terms") - F.size(F.array_remove("_terms", t)) for t in terms]
-    return bag.withColumn("dl", F.size("_terms")).withColumn("tf", F.array(*counts)).drop("_terms")
+def term_frequencies(text: Column | str, terms: Sequence[str]) -> Column:
+    """Struct of ``dl`` (document length) and ``tf`` (one count per query term).
+
+    The text is analysed once, whatever the number of terms.
+    """
+    return let(
+        index_terms(text),
+        lambda bag: F.struct(
+            F.size(bag).alias("dl"),
+            F.array(*[F.size(bag) - F.size(F.array_remove(bag, t)) for t in terms]).alias("tf"),
+        ),
+    )
 
 
 def score(
@@ -54,24 +62,27 @@ def score(
     if not terms:
         return df.where(F.lit(False)).withColumn("score", F.lit(0.0))
     # Only the text is needed for the figures; column pruning keeps the rest unread.
-    corpus = (
-        term_frequencies(df.select(_col(text).alias("_text")), "_text", terms)
-        .agg(
-            F.struct(
-                F.count(F.lit(1)).alias("n"),
-                F.avg("dl").alias("avgdl"),
-                F.array(
-                    *[F.count_if(F.get("tf", F.lit(i)) > 0) for i in range(len(terms))]
-                ).alias("df"),
-            ).alias("c")
-        )
-        .scalar()
-    )
+    lengths = df.select(term_frequencies(text, terms).alias("f"))
+    corpus = lengths.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("n"),
+            F.avg("f.dl").alias("avgdl"),
+            F.array(
+                *[F.count_if(F.get("f.tf", F.lit(i)) > 0) for i in range(len(terms))]
+            ).alias("df"),
+        ).alias("c")
+    ).scalar()
     hits = df if where is None else df.where(where)
-    hits = hits.where(may_hold_term(text, terms))
-    scored = term_frequencies(hits, text, terms).where(
-        F.exists("tf", lambda x: x > 0)
-    ).withColumn("_c", corpus)
+    # The match test sits inside a generator of at most one row: as a filter it would be
+    # pushed below the projection and the text would be analysed a second time.
+    found = F.filter(
+        F.array(term_frequencies(text, terms)), lambda f: F.exists(f["tf"], lambda x: x > 0)
+    )
+    scored = (
+        hits.where(may_hold_term(text, terms))
+        .select("*", F.inline(found))
+        .withColumn("_c", corpus)
+    )
     weights = [
         bm25_weight(
             F.col("_c.n"), F.get("_c.df", F.lit(i)), F.get("tf", F.lit(i)), F.col("dl"),
@@ -125,9 +136,8 @@ def near(df: DataFrame, text: Column | str, query: str, slop: int) -> DataFrame:
     work grows with the length of the text, not with its square.
     """
     terms = query_terms_in_order(df, query)
-    tokens = F.col("_tokens")
 
-    def window_holds(low: Column, place: int, term: str) -> Column:
+    def window_holds(tokens: Column, low: Column, place: int, term: str) -> Column:
         # 1-based slice of the positions low + place .. low + place + slop.
         first = low + place + 1
         width = F.lit(slop + 1) - F.greatest(F.lit(0), 1 - first)
@@ -135,24 +145,22 @@ def near(df: DataFrame, text: Column | str, query: str, slop: int) -> DataFrame:
             F.slice(tokens, F.greatest(first, F.lit(1)), F.greatest(width, F.lit(0))), term
         )
 
-    def all_near(anchor: Column) -> Column:
-        lows = F.sequence(anchor - slop, anchor)
+    def all_near(tokens: Column, anchor: Column) -> Column:
         return F.exists(
-            lows,
+            F.sequence(anchor - slop, anchor),
             lambda low: reduce(
-                lambda a, b: a & b, [window_holds(low, i, t) for i, t in enumerate(terms)]
+                lambda a, b: a & b,
+                [window_holds(tokens, low, i, t) for i, t in enumerate(terms)],
             ),
         )
 
-    anchors = F.filter(
-        F.transform(tokens, lambda t, i: F.when(t == terms[0], i)), lambda i: i.isNotNull()
-    )
-    return (
-        df.where(_may_hold_all(text, terms))
-        .withColumn("_tokens", query_side_terms(text))
-        .where(F.exists(anchors, all_near))
-        .drop("_tokens")
-    )
+    def matches(tokens: Column) -> Column:
+        anchors = F.filter(
+            F.transform(tokens, lambda t, i: F.when(t == terms[0], i)), lambda i: i.isNotNull()
+        )
+        return F.exists(anchors, lambda anchor: all_near(tokens, anchor))
+
+    return df.where(_may_hold_all(text, terms) & let(query_side_terms(text), matches))
 
 
 def highlight(

@@ -50,9 +50,13 @@ def _top_per_partition(query_ids: list, matrix: np.ndarray, k: int | None):
             )
 
         for batch in batches:
-            column = batch.column(1)
+            # Rows without a vector are dropped here: as a Spark filter the test would be
+            # pushed below a computed vector column and compute it twice.
+            if batch.column(1).null_count:
+                batch = batch.filter(batch.column(1).is_valid())
             if len(batch) == 0:
                 continue
+            column = batch.column(1)
             flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
             rows = flat.reshape(len(batch), -1)
             length = np.sqrt((rows * rows).sum(axis=1))
@@ -89,7 +93,7 @@ def _scored(
     df: DataFrame, key: str, vector: str, query_ids: list, matrix: np.ndarray, k: int | None
 ) -> DataFrame:
     key_sql = df.schema[key].dataType.simpleString()
-    rows = df.where(F.col(vector).isNotNull()).select(key, vector)
+    rows = df.select(key, vector)
     task = _top_per_partition(query_ids, matrix, k)
     return rows.mapInArrow(task, f"query_id bigint, key {key_sql}, score double")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from docsieve.functions.text import STOP_WORDS
 from docsieve.session import scratch_path
-from docsieve.sources.tables import scan
+from docsieve.sources.tables import scan, spread
 
 TABLE_NAMES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -27,6 +27,10 @@ class Tables:
             raise AttributeError(name)
         return scan(self.spark, self.folder, name)
 
+    def wide(self, name: str) -> DataFrame:
+        """The table, spread over the cores when it is small; for work that is heavy per row."""
+        return spread(getattr(self, name))
+
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)
 

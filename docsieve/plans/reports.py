@@ -94,7 +94,7 @@ def search_stats(t: Tables) -> DataFrame:
     Both reports are aggregates of the same grouping, so the texts are analysed once: matches
     are first counted per facet value together with their sums.
     """
-    matches = P.apply_filters(t.documents, ["lang:en", "text:(licensed eron)"], ["text"])
+    matches = P.apply_filters(t.wide("documents"), ["lang:en", "text:(licensed eron)"], ["text"])
     return A.stats_and_facets(matches, "n_chars", ["source", "lang"])
 
 
@@ -104,12 +104,12 @@ TOP = "ORDER BY frequency DESC, term LIMIT"
 
 @query("terms_top", f"WITH {DOC_TERMS} SELECT term, frequency FROM tf {TOP} 10")
 def terms_top(t: Tables) -> DataFrame:
-    return A.terms(t.documents, index_terms("text"))
+    return A.terms(t.wide("documents"), index_terms("text"))
 
 
 @query("terms_prefix", f"WITH {DOC_TERMS} SELECT term, frequency FROM tf WHERE starts_with(term, 'lic') {TOP} 10")
 def terms_prefix(t: Tables) -> DataFrame:
-    return A.terms(t.documents, index_terms("text"), prefix="lic")
+    return A.terms(t.wide("documents"), index_terms("text"), prefix="lic")
 
 
 @query(
@@ -117,7 +117,7 @@ def terms_prefix(t: Tables) -> DataFrame:
     f"WITH {DOC_TERMS} SELECT term, frequency FROM tf WHERE regexp_full_match(term, '[a-e]+t(ion|ing)?') {TOP} 25",
 )
 def terms_regex(t: Tables) -> DataFrame:
-    return A.terms(t.documents, index_terms("text"), regex="[a-e]+t(ion|ing)?", limit=25)
+    return A.terms(t.wide("documents"), index_terms("text"), regex="[a-e]+t(ion|ing)?", limit=25)
 
 
 @query(
@@ -125,7 +125,7 @@ def terms_regex(t: Tables) -> DataFrame:
     f"WITH {DOC_TERMS} SELECT term, frequency FROM tf WHERE frequency BETWEEN 20 AND 40 {TOP} 50",
 )
 def terms_counts(t: Tables) -> DataFrame:
-    return A.terms(t.documents, index_terms("text"), limit=50, min_count=20, max_count=40)
+    return A.terms(t.wide("documents"), index_terms("text"), limit=50, min_count=20, max_count=40)
 
 
 @query(
@@ -133,7 +133,7 @@ def terms_counts(t: Tables) -> DataFrame:
     f"WITH {DOC_TERMS} SELECT term, frequency FROM tf WHERE starts_with(term, 'eda') AND frequency >= 2 {TOP} 10",
 )
 def autocomplete(t: Tables) -> DataFrame:
-    return A.autocomplete(t.documents, index_terms("text"), "EDA")
+    return A.autocomplete(t.wide("documents"), index_terms("text"), "EDA")
 
 
 @query(
@@ -146,7 +146,7 @@ def autocomplete(t: Tables) -> DataFrame:
     """,
 )
 def tag_cloud(t: Tables) -> DataFrame:
-    return A.tag_cloud(A.terms(t.documents, index_terms("text"), limit=100, min_count=10))
+    return A.tag_cloud(A.terms(t.wide("documents"), index_terms("text"), limit=100, min_count=10))
 
 
 @query(
@@ -158,7 +158,7 @@ def tag_cloud(t: Tables) -> DataFrame:
     """,
 )
 def vocab_stats(t: Tables) -> DataFrame:
-    stats = A.vocabulary_stats(A.term_counts(t.documents, index_terms("text")))
+    stats = A.vocabulary_stats(A.term_counts(t.wide("documents"), index_terms("text")))
     return stats.withColumn("mean_frequency", F.round("mean_frequency", 6))
 
 
@@ -181,8 +181,8 @@ def unexpected_values(t: Tables) -> DataFrame:
     """,
 )
 def expand_query(t: Tables) -> DataFrame:
-    words = A.expanded_terms(t.documents, index_terms("text"), "edat")
-    return t.documents.where(P.has_any_term("text", words)).select("doc_id")
+    words = A.expanded_terms(t.wide("documents"), index_terms("text"), "edat")
+    return t.wide("documents").where(P.has_any_term("text", words)).select("doc_id")
 
 
 @query(

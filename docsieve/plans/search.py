@@ -48,7 +48,7 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     """,
 )
 def keyword_search(t: Tables) -> DataFrame:
-    hits = K.search(t.documents, "text", WORDS, "doc_id", where=F.col("lang") == "en")
+    hits = K.search(t.wide("documents"), "text", WORDS, "doc_id", where=F.col("lang") == "en")
     return rounded(hits.select("doc_id", "lang", "source", "score"), "score")
 
 
@@ -58,7 +58,7 @@ def keyword_search(t: Tables) -> DataFrame:
 )
 def keyword_scores(t: Tables) -> DataFrame:
     """Every match with its score, not only the best."""
-    return rounded(K.score(t.documents, "text", WORDS).select("doc_id", "score"), "score")
+    return rounded(K.score(t.wide("documents"), "text", WORDS).select("doc_id", "score"), "score")
 
 
 @query(
@@ -68,7 +68,7 @@ def keyword_scores(t: Tables) -> DataFrame:
 def keyword_search_postings(t: Tables) -> DataFrame:
     """The same ranking from a postings table that is built first."""
     path = t.scratch("postings")
-    I.build(t.documents, "doc_id", "text", path)
+    I.build(t.wide("documents"), "doc_id", "text", path)
     return rounded(I.search(t.spark, path, WORDS, "doc_id"), "score")
 
 
@@ -100,7 +100,7 @@ PLACES = f"""{terms_sql(joined=False)},
     """,
 )
 def phrase(t: Tables) -> DataFrame:
-    return K.phrase(t.documents, "text", "From th").select("doc_id")
+    return K.phrase(t.wide("documents"), "text", "From th").select("doc_id")
 
 
 @query(
@@ -114,7 +114,7 @@ def phrase(t: Tables) -> DataFrame:
     """,
 )
 def phrase_slop(t: Tables) -> DataFrame:
-    return K.near(t.documents, "text", "from th er", 5).select("doc_id")
+    return K.near(t.wide("documents"), "text", "from th er", 5).select("doc_id")
 
 
 def highlight_sql(field: str, source: str, key: str, words: str) -> str:
@@ -133,7 +133,7 @@ def highlight_sql(field: str, source: str, key: str, words: str) -> str:
 
 @query("highlight", highlight_sql("text", "documents", "doc_id", "licensed|licenseds|from|froms"))
 def highlight(t: Tables) -> DataFrame:
-    return K.highlight(t.documents, "doc_id", ["text"], "licensed from")
+    return K.highlight(t.wide("documents"), "doc_id", ["text"], "licensed from")
 
 
 @query(
@@ -158,7 +158,7 @@ def highlight_fields(t: Tables) -> DataFrame:
 )
 def search_with_highlights(t: Tables) -> DataFrame:
     """Fragments are only cut for the hits."""
-    hits = K.search(t.documents, "text", WORDS, "doc_id").select("doc_id", "text", "score")
+    hits = K.search(t.wide("documents"), "text", WORDS, "doc_id").select("doc_id", "text", "score")
     marked = K.highlight(hits, "doc_id", ["text"], WORDS)
     return rounded(
         K.with_highlights(hits.select("doc_id", "score"), marked, "doc_id")
@@ -168,6 +168,7 @@ def search_with_highlights(t: Tables) -> DataFrame:
     )
 
 
+# levenshtein counts bytes there; one ASCII capital per accented letter makes it count letters.
 @query(
     "spellcheck",
     rf"""
@@ -176,7 +177,8 @@ def search_with_highlights(t: Tables) -> DataFrame:
     q AS (SELECT DISTINCT lower(unnest(regexp_extract_all(text, '[\p{{L}}\p{{N}}]+'))) AS word FROM benchmark),
     k AS (SELECT word FROM q WHERE length(word) >= 3 AND word NOT IN (
             SELECT term FROM v WHERE frequency > 0.01 * (SELECT count(*) FROM documents))),
-    p AS (SELECT word, term, frequency, levenshtein(word, term) AS distance FROM k JOIN v
+    p AS (SELECT word, term, frequency, levenshtein(translate(word, 'ßäçèéêíñóöü', 'ABCDEFGHIJK'), translate(term, 'ßäçèéêíñóöü', 'ABCDEFGHIJK')) AS distance
+          FROM k JOIN v
             ON substr(word, 1, 1) = substr(term, 1, 1) AND abs(length(word) - length(term)) <= 2
           WHERE word <> term),
     r AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY distance, frequency DESC, term) AS rank FROM p
@@ -189,7 +191,7 @@ def spellcheck(t: Tables) -> DataFrame:
     """All words of the benchmark texts against the words of all documents."""
     words = F.transform(tokenize("text"), F.lower)
     asked = t.benchmark.select(F.explode(words).alias("word")).distinct()
-    vocabulary = A.term_counts(t.documents, words)
+    vocabulary = A.term_counts(t.wide("documents"), words)
     total = t.documents.agg(F.count("*")).scalar()
     return L.corrections(asked, vocabulary, total)
 
@@ -362,7 +364,7 @@ SEMANTIC_SQL = f"""
     """,
 )
 def semantic_select(t: Tables) -> DataFrame:
-    docs = t.documents.withColumn("embedding", embed_text("text"))
+    docs = t.wide("documents").withColumn("embedding", embed_text("text"))
     rows = B.semantic_select(docs, ASK, "doc_id", ["lang", "source"], where=F.col("lang") == "en")
     return rounded(rows, "score", "distance")
 
@@ -378,7 +380,7 @@ HYBRID_SQL = f"""
 
 
 def sides(t: Tables) -> tuple[DataFrame, DataFrame]:
-    keyword = K.search(t.documents, "text", WORDS, "doc_id").select("doc_id", "score")
+    keyword = K.search(t.wide("documents"), "text", WORDS, "doc_id").select("doc_id", "score")
     vectors = t.embeddings.withColumnRenamed("vec_id", "doc_id")
     near = V.knn(vectors, V.stored_vector(vectors, "doc_id", 0), "doc_id").select("doc_id", "score")
     return keyword, near
@@ -409,7 +411,7 @@ def hybrid_search(t: Tables) -> DataFrame:
 def hybrid_one_side(t: Tables) -> DataFrame:
     """No keyword hit at all: the vector side alone, in the blended form."""
     near = sides(t)[1]
-    nothing = K.search(t.documents, "text", ["nosuchterm"], "doc_id").select("doc_id", "score")
+    nothing = K.search(t.wide("documents"), "text", ["nosuchterm"], "doc_id").select("doc_id", "score")
     blended = B.blend(nothing, near, "doc_id", k=10, blend_factor=0.4)
     return rounded(blended, "keyword_score", "vector_score", "hybrid_score")
 
@@ -443,5 +445,5 @@ def compare_methods(t: Tables) -> DataFrame:
     """,
 )
 def diagnose_term(t: Tables) -> DataFrame:
-    return K.diagnose(t.pages, ["html", "url"], "examples")
+    return K.diagnose(t.wide("pages"), ["html", "url"], "examples")
 

@@ -133,7 +133,7 @@ def filter_range(t: Tables) -> DataFrame:
     f"WITH {terms_sql()} SELECT DISTINCT id AS doc_id FROM term WHERE term IN ('licensed', 'edatat', 'theea')",
 )
 def filter_any_term(t: Tables) -> DataFrame:
-    return P.apply_filters(t.documents, "text:(Licensed edatat theea)", ["text"]).select("doc_id")
+    return P.apply_filters(t.wide("documents"), "text:(Licensed edatat theea)", ["text"]).select("doc_id")
 
 
 @query("filter_list", "SELECT doc_id, n_chars FROM documents WHERE lang = 'fr' AND n_chars <= 3000")
@@ -161,7 +161,7 @@ def project_forms(t: Tables) -> DataFrame:
     f"WITH {terms_sql()} SELECT DISTINCT id AS doc_id FROM term WHERE term = 'licensed'",
 )
 def filter_term(t: Tables) -> DataFrame:
-    return P.apply_filters(t.documents, "text:licensed", ["text"]).select("doc_id")
+    return P.apply_filters(t.wide("documents"), "text:licensed", ["text"]).select("doc_id")
 
 
 @query(
@@ -172,7 +172,7 @@ def filter_term(t: Tables) -> DataFrame:
     """,
 )
 def filter_any_field(t: Tables) -> DataFrame:
-    return P.apply_filters(t.documents, "*:de").select("doc_id")
+    return P.apply_filters(t.wide("documents"), "*:de").select("doc_id")
 
 
 @query("filter_false", "SELECT doc_id, lang FROM documents WHERE 1 = 0")

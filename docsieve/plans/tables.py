@@ -55,7 +55,7 @@ def markdown(t: Tables) -> DataFrame:
     source = F.concat(
         F.lit("chats/"), F.col("conv_id"), F.lit("/turn"), F.col("turn"), F.lit(".md")
     )
-    return t.conversations.select("conv_id", "turn", source.alias("source"), body.alias("md"),
+    return t.wide("conversations").select("conv_id", "turn", source.alias("source"), body.alias("md"),
                                   F.concat(head, body).alias("file"))
 
 
@@ -143,7 +143,7 @@ def sections_to_docs(t: Tables) -> DataFrame:
     """,
 )
 def chunk_text(t: Tables) -> DataFrame:
-    return M.chunks(t.documents, "doc_id", "text")
+    return M.chunks(t.wide("documents"), "doc_id", "text")
 
 
 @query(

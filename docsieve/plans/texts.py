@@ -19,7 +19,7 @@ def positions(df: DataFrame, key: str, tokens, name: str = "token") -> DataFrame
 
 @query("tokenize", f"WITH {WORDS_SQL} SELECT doc_id, pos, token FROM w")
 def tokenize(t: Tables) -> DataFrame:
-    return positions(t.documents, "doc_id", X.tokenize("text"))
+    return positions(t.wide("documents"), "doc_id", X.tokenize("text"))
 
 
 @query(
@@ -32,7 +32,7 @@ def tokenize(t: Tables) -> DataFrame:
 )
 def stop_filter(t: Tables) -> DataFrame:
     kept = X.drop_stop_words(X.tokenize("text"))
-    rows = t.documents.select("doc_id", kept.alias("k")).where(F.size("k") > 0)
+    rows = t.wide("documents").select("doc_id", kept.alias("k")).where(F.size("k") > 0)
     return rows.select(
         "doc_id", F.size("k").cast("bigint").alias("kept"), F.array_join("k", " ").alias("words")
     )
@@ -58,7 +58,7 @@ def stop_filter(t: Tables) -> DataFrame:
 )
 def word_delimiter(t: Tables) -> DataFrame:
     """Index-side parts of every word of the pages that has an inner border."""
-    words = t.pages.select(F.explode(X.tokenize("html")).alias("token"))
+    words = t.wide("pages").select(F.explode(X.tokenize("html")).alias("token"))
     seen = words.where(F.col("token").rlike(X.INNER_BOUNDARY)).groupBy("token").agg(
         F.count("*").alias("seen")
     )
@@ -67,7 +67,7 @@ def word_delimiter(t: Tables) -> DataFrame:
 
 @query("analyze", f"WITH {terms_sql()} SELECT id AS doc_id, term, count(*) AS tf FROM term GROUP BY id, term")
 def analyze(t: Tables) -> DataFrame:
-    terms = t.documents.select("doc_id", F.explode(X.index_terms("text")).alias("term"))
+    terms = t.wide("documents").select("doc_id", F.explode(X.index_terms("text")).alias("term"))
     return terms.groupBy("doc_id", "term").agg(F.count("*").alias("tf"))
 
 
@@ -79,7 +79,7 @@ def analyze(t: Tables) -> DataFrame:
     """,
 )
 def stem_plural(t: Tables) -> DataFrame:
-    words = t.documents.select(F.explode(X.tokenize("text")).alias("token"))
+    words = t.wide("documents").select(F.explode(X.tokenize("text")).alias("token"))
     return words.select(F.lower("token").alias("word")).distinct().withColumn("stem", X.stem("word"))
 
 
@@ -96,7 +96,7 @@ def dedupe_tokens(t: Tables) -> DataFrame:
         X.tokenize("text"),
         lambda w, i: F.struct(F.floor(i / 2).alias("place"), F.lower(w).alias("token")),
     )
-    rows = t.documents.select("doc_id", placed.alias("p")).where(F.size("p") > 0)
+    rows = t.wide("documents").select("doc_id", placed.alias("p")).where(F.size("p") > 0)
     return rows.select(
         "doc_id", F.size("p").cast("bigint").alias("before"),
         F.size(X.dedupe_at_position("p")).cast("bigint").alias("after"),
@@ -171,7 +171,7 @@ def normalize_dates(t: Tables) -> DataFrame:
 
 def raw_documents(t: Tables) -> DataFrame:
     """Documents with the field names that preparation renames."""
-    return t.documents.select(
+    return t.wide("documents").select(
         F.col("doc_id").cast("string").alias("id"), F.col("source").alias("title"), "text",
         F.col("n_chars").alias("section_number"), F.col("lang").alias("author"),
         F.lit("2024-01-02T03:04:05.123456").alias("date"),
@@ -319,7 +319,7 @@ EMBED_SQL = f"""
     f"WITH {EMBED_SQL} SELECT id AS doc_id, CAST(dim AS INTEGER) AS dim, round(x, 6) AS x FROM vec",
 )
 def embed_text(t: Tables) -> DataFrame:
-    dims = t.documents.select("doc_id", F.posexplode(E.embed_text("text")).alias("dim", "x"))
+    dims = t.wide("documents").select("doc_id", F.posexplode(E.embed_text("text")).alias("dim", "x"))
     return dims.where(F.col("x") > 0).withColumn("x", F.round("x", 6))
 
 
@@ -339,13 +339,13 @@ def embed_udf(t: Tables) -> DataFrame:
         return [[float(len(s)), float(s.count(" ")), float(s.count("e"))] for s in texts]
 
     embed = E.embedding_udf(letters)
-    dims = t.documents.select("doc_id", F.posexplode(embed("text")).alias("dim", "n"))
+    dims = t.wide("documents").select("doc_id", F.posexplode(embed("text")).alias("dim", "n"))
     return dims.withColumn("n", F.col("n").cast("double"))
 
 
 @query("mock_vectors", "SELECT doc_id, 64 AS dimension, 1.0::DOUBLE AS length FROM documents")
 def mock_vectors(t: Tables) -> DataFrame:
-    vectors = t.documents.select("doc_id", E.mock_vector("doc_id").alias("v"))
+    vectors = t.wide("documents").select("doc_id", E.mock_vector("doc_id").alias("v"))
     return vectors.select(
         "doc_id", F.size("v").alias("dimension"), F.round(E.norm("v"), 9).alias("length")
     )

@@ -10,12 +10,31 @@ from pyspark.sql import types as T
 
 from docsieve.operators.schema import FIELD_TYPES
 
+# Tables up to this size may be moved to use all cores.
+SPREAD_BYTES = 1 << 30
+
 
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One collection by name, ignoring case."""
     return spark.read.parquet(f"{folder}/{name.lower()}.parquet")
 
 
+def spread(df: DataFrame, limit: int = SPREAD_BYTES) -> DataFrame:
+    """Spread a small table of few files over all cores, before work that is heavy per row.
+
+    A file with one row group is read by one task, however many cores wait. Larger tables
+    are never moved: they have enough splits, and moving them would cost more than it gives.
+    """
+    spark = df.sparkSession
+    tasks = spark.sparkContext.defaultParallelism
+    files = df.inputFiles()
+    if not files or len(files) >= tasks:
+        return df
+    # Lists file sizes only; the content column is not read.
+    sizes = spark.read.format("binaryFile").load(files).agg(F.sum("length"))
+    return df.repartition(tasks) if sizes.first()[0] <= limit else df
+
+
 def collection_schema(fields: Sequence[dict]) -> T.StructType:
     """Declared fields ``{name, type, required, multiValued, ...}`` as a Spark schema.
 
