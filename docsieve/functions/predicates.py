@@ -32,9 +32,20 @@ def has_any_term(text: Column | str, terms: Sequence[str]) -> Column:
     return may_hold_term(text, terms) & F.arrays_overlap(index_terms(text), wanted)
 
 
-def has_all_terms(text: Column | str, terms: Sequence[str]) -> Column:
-    tests = [has_any_term(text, [t]) for t in terms]
-    return reduce(lambda a, b: a & b, tests, F.lit(True))
+def keep(df: DataFrame, condition: Column) -> DataFrame:
+    """Filter by a test that is expensive per row.
+
+    The test sits in a generator of at most one row, so it is evaluated once, where it is
+    written. As a plain filter it would be moved down to the scan, before the rows of a small
+    table are spread over the cores.
+    """
+    once = F.filter(F.array(F.lit(True)), lambda _: condition)
+    return df.select("*", F.explode(once).alias("_kept")).drop("_kept")
+
+
+def where_any_term(df: DataFrame, text: Column | str, terms: Sequence[str]) -> DataFrame:
+    """Rows whose analysed text holds one of the terms; a cheap test runs first, at the scan."""
+    return keep(df.where(may_hold_term(text, terms)), has_any_term(text, terms))
 
 
 def in_range(field: Column | str, low: Any, high: Any) -> Column:
@@ -109,9 +120,17 @@ def field_list(fields: Any) -> list[str]:
 
 
 def apply_filters(df: DataFrame, filters: Any, text_fields: Iterable[str] = ()) -> DataFrame:
-    """Keep rows that satisfy every clause; scores elsewhere are not affected."""
-    for spec in filter_list(filters):
-        df = df.where(clause(df, spec, text_fields))
+    """Keep rows that satisfy every clause; scores elsewhere are not affected.
+
+    Clauses on values go first, so that they reach the scan and leave fewer texts to analyse.
+    """
+    analysed = {"*", *text_fields}
+    specs = filter_list(filters)
+    specs.sort(key=lambda s: s.partition(":")[0] in analysed and s.strip() != MATCH_ALL)
+    for spec in specs:
+        condition = clause(df, spec, text_fields)
+        heavy = spec.partition(":")[0] in analysed and spec.strip() != MATCH_ALL
+        df = keep(df, condition) if heavy else df.where(condition)
     return df
 
 

@@ -17,7 +17,7 @@ from docsieve.functions.text import (
     query_terms,
     surface_forms,
 )
-from docsieve.functions.predicates import has_any_term
+from docsieve.functions.predicates import has_any_term, keep
 from docsieve.functions.vectors import let
 from docsieve.operators.select import DEFAULT_ROWS, top_k
 
@@ -113,7 +113,7 @@ def phrase(df: DataFrame, text: Column | str, query: str) -> DataFrame:
     terms = query_terms_in_order(df, query)
     line = F.concat(F.lit(" "), F.array_join(query_side_terms(text), " "), F.lit(" "))
     wanted = " " + " ".join(terms) + " "
-    return df.where(_may_hold_all(text, terms) & line.contains(wanted))
+    return keep(df.where(_may_hold_all(text, terms)), line.contains(wanted))
 
 
 def query_terms_in_order(df: DataFrame, query: str) -> list[str]:
@@ -160,7 +160,7 @@ def near(df: DataFrame, text: Column | str, query: str, slop: int) -> DataFrame:
         )
         return F.exists(anchors, lambda anchor: all_near(tokens, anchor))
 
-    return df.where(_may_hold_all(text, terms) & let(query_side_terms(text), matches))
+    return keep(df.where(_may_hold_all(text, terms)), let(query_side_terms(text), matches))
 
 
 def highlight(

@@ -35,36 +35,39 @@ def _stored_signatures(term: Column) -> Column:
         size = _piece_start(length, piece + 1) - start
         pieces.append(_signature(term, length, piece, F.substring(term, start + 1, size)))
     return F.when(length >= _PIECES, F.array(*pieces)).otherwise(
-        F.array(F.concat_ws(":", F.substring(term, 1, MIN_PREFIX), F.lit("short")))
+        F.array(F.concat_ws(":", _prefix(term), F.lit("short")))
     )
 
 
 def _query_signatures(term: Column) -> Column:
-    """All pieces that a stored word within two edits could share with this word."""
+    """All pieces that a stored word within two edits could share with this word.
+
+    With ``change`` the length difference, piece number i (from 0) only has to be looked for at
+    shifts within i of its place from the left and within 2 - i from the right (Li et al. 2011).
+    """
     own = F.length(term)
+    out = [F.when(own < _PIECES + MAX_EDITS, F.concat_ws(":", _prefix(term), F.lit("short")))]
+    for change in range(-MAX_EDITS, MAX_EDITS + 1):
+        length = own - change
+        for piece in range(_PIECES):
+            start = _piece_start(length, piece)
+            size = _piece_start(length, piece + 1) - start
+            left, right = piece, MAX_EDITS - piece
+            for shift in range(max(-left, change - right), min(left, change + right) + 1):
+                at = start + shift
+                fits = (length >= _PIECES) & (at >= 0) & (at + size <= own)
+                found = _signature(term, length, piece, F.substring(term, at + 1, size))
+                out.append(F.when(fits, found))
+    return F.array_distinct(F.filter(F.array(*out), lambda s: s.isNotNull()))
 
-    def pieces(length: Column, piece: int) -> Column:
-        start = _piece_start(length, piece)
-        size = _piece_start(length, piece + 1) - start
-        starts = F.transform(
-            F.sequence(F.lit(-MAX_EDITS), F.lit(MAX_EDITS)), lambda shift: start + shift
-        )
-        inside = F.filter(starts, lambda at: (at >= 0) & (at + size <= own))
-        found = F.transform(
-            inside, lambda at: _signature(term, length, piece, F.substring(term, at + 1, size))
-        )
-        return F.when(length >= _PIECES, found).otherwise(F.array().cast("array<string>"))
-
-    lengths = [own + change for change in range(-MAX_EDITS, MAX_EDITS + 1)]
-    short = F.array(F.concat_ws(":", F.substring(term, 1, MIN_PREFIX), F.lit("short")))
-    return F.array_distinct(
-        F.concat(short, *[pieces(n, piece) for n in lengths for piece in range(_PIECES)])
-    )
+
+def _prefix(term: Column) -> Column:
+    return F.substring(term, 1, MIN_PREFIX)
 
 
 def _signature(term: Column, length: Column, piece: int, text: Column) -> Column:
     return F.concat_ws(
-        ":", F.substring(term, 1, MIN_PREFIX), length.cast("string"), F.lit(str(piece)), text
+        ":", _prefix(term), length.cast("string"), F.lit(str(piece)), text
     )
 
 
@@ -76,30 +79,34 @@ def corrections(words: DataFrame, counts: DataFrame, documents: Column) -> DataF
     edits and keep similarity 1 - d / longest of at least 0.5. Pairs come from an equi-join on
     shared pieces, which finds all of them without comparing every word with every term.
     """
-    known = words.join(
-        counts.where(F.col("frequency") > documents * MAX_QUERY_FREQUENCY),
-        words["word"] == counts["term"],
-        "left_anti",
-    ).where(F.length("word") >= MIN_QUERY_LENGTH)
-    left = known.select("word", F.explode(_query_signatures(F.col("word"))).alias("signature"))
+    asked = words.where(F.length("word") >= MIN_QUERY_LENGTH)
+    left = asked.select("word", F.explode(_query_signatures(F.col("word"))).alias("signature"))
     right = counts.select(
         "term", "frequency", F.explode(_stored_signatures(F.col("term"))).alias("signature")
     )
-    distance = F.levenshtein("word", "term", MAX_EDITS)
     similarity = 1 - F.col("distance") / F.greatest(F.length("word"), F.length("term"))
     pairs = (
         left.join(right, "signature")
-        .where(F.col("word") != F.col("term"))
-        .withColumn("distance", distance)
+        .withColumn("distance", F.levenshtein("word", "term", MAX_EDITS))
         .where((F.col("distance") >= 0) & (similarity >= ACCURACY))
     )
-    # A pair can share several pieces; one row per pair remains, then one row per word.
+    # A pair can share several pieces; one row per pair remains.
     unique = pairs.groupBy("word", "term").agg(
         F.first("frequency").alias("frequency"), F.first("distance").alias("distance")
     )
+    # A stored word finds itself at distance 0 and so brings its own frequency along: the
+    # vocabulary is needed once only. It is ranked first and leaves one more row to keep.
     order = Window.partitionBy("word").orderBy("distance", F.desc("frequency"), "term")
+    best = unique.withColumn("place", F.row_number().over(order)).where(
+        F.col("place") <= MAX_INSPECTIONS + 1
+    )
+    own = F.max(F.when(F.col("distance") == 0, F.col("frequency"))).over(Window.partitionBy("word"))
+    rank = F.col("place") - F.when(F.col("own").isNotNull(), 1).otherwise(0)
     return (
-        unique.withColumn("rank", F.row_number().over(order))
+        best.withColumn("own", own)
+        .withColumn("rank", rank)
+        .where(F.col("distance") > 0)
+        .where(F.coalesce("own", F.lit(0)) <= documents * MAX_QUERY_FREQUENCY)
         .where(F.col("rank") <= MAX_INSPECTIONS)
         .select("word", "rank", F.col("term").alias("suggestion"), "distance", "frequency")
     )

@@ -182,7 +182,7 @@ def unexpected_values(t: Tables) -> DataFrame:
 )
 def expand_query(t: Tables) -> DataFrame:
     words = A.expanded_terms(t.wide("documents"), index_terms("text"), "edat")
-    return t.wide("documents").where(P.has_any_term("text", words)).select("doc_id")
+    return P.where_any_term(t.wide("documents"), "text", words).select("doc_id")
 
 
 @query(

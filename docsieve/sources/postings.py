@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsieve.functions.text import _col, index_terms, query_terms
+from docsieve.functions.vectors import let
 from docsieve.operators.keyword import bm25_weight
 
 BUCKETS = 64
@@ -20,11 +21,39 @@ def bucket_of(term: Column | str, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(_col(term)), F.lit(buckets)).cast("int")
 
 
+def term_counts_in(terms: Column) -> Column:
+    """Array of (term, tf, dl) of one bag of terms: sort it, then measure the runs.
+
+    Linear after the sort and inside the row, so counting needs no shuffle.
+    """
+
+    def runs(words: Column) -> Column:
+        marks = F.transform(
+            words,
+            lambda w, i: F.when((i == 0) | (w != F.get(words, i - 1)), i),
+        )
+        return let(
+            F.filter(marks, lambda i: i.isNotNull()),
+            lambda starts: F.transform(
+                starts,
+                lambda i, n: F.struct(
+                    F.get(words, i).alias("term"),
+                    (F.coalesce(F.get(starts, n + 1), F.size(words)) - i).alias("tf"),
+                    F.size(words).alias("dl"),
+                ),
+            ),
+        )
+
+    return let(F.sort_array(terms), runs)
+
+
 def postings(df: DataFrame, key: str, text: Column | str) -> DataFrame:
-    """(term, key, tf, dl) rows; the words of a text are counted before they are shuffled."""
-    bag = df.select(F.col(key).alias("key"), index_terms(text).alias("terms"))
-    words = bag.select("key", F.size("terms").alias("dl"), F.explode("terms").alias("term"))
-    return words.groupBy("term", "key", "dl").agg(F.count(F.lit(1)).alias("tf"))
+    """(key, term, tf, dl) rows.
+
+    The array goes straight into the generator: were it a column first, Spark would add a
+    filter on its size, push it down and count every text twice.
+    """
+    return df.select(F.col(key).alias("key"), F.inline(term_counts_in(index_terms(text))))
 
 
 def build(
@@ -49,16 +78,12 @@ def build(
         .mode("overwrite")
         .parquet(f"{path}/postings")
     )
-    (
-        df.agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(F.size(index_terms(text))).alias("avgdl"),
-            F.lit(buckets).alias("buckets"),
-        )
-        .coalesce(1)
-        .write.mode("overwrite")
-        .parquet(f"{path}/corpus")
-    )
+    # The mean length comes from the counts just written, not from the texts again.
+    written = df.sparkSession.read.parquet(f"{path}/postings")
+    total = written.agg(F.sum("tf").cast("double")).scalar()
+    rows = df.agg(F.count(F.lit(1)).alias("n"))
+    corpus = rows.select("n", (total / F.col("n")).alias("avgdl"), F.lit(buckets).alias("buckets"))
+    corpus.write.mode("overwrite").parquet(f"{path}/corpus")
 
 
 def search(spark: SparkSession, path: str, query: str, key: str, rows: int = 10) -> DataFrame:

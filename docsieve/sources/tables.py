@@ -12,6 +12,7 @@ from docsieve.operators.schema import FIELD_TYPES
 
 # Tables up to this size may be moved to use all cores.
 SPREAD_BYTES = 1 << 30
+_sizes: dict[tuple[str, ...], int] = {}
 
 
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -30,9 +31,12 @@ def spread(df: DataFrame, limit: int = SPREAD_BYTES) -> DataFrame:
     files = df.inputFiles()
     if not files or len(files) >= tasks:
         return df
-    # Lists file sizes only; the content column is not read.
-    sizes = spark.read.format("binaryFile").load(files).agg(F.sum("length"))
-    return df.repartition(tasks) if sizes.first()[0] <= limit else df
+    known = tuple(sorted(files))
+    if known not in _sizes:
+        # Lists file sizes only; the content column is not read.
+        listed = spark.read.format("binaryFile").load(files).agg(F.sum("length"))
+        _sizes[known] = listed.first()[0]
+    return df.repartition(tasks) if _sizes[known] <= limit else df
 
 
 def collection_schema(fields: Sequence[dict]) -> T.StructType:
