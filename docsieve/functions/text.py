@@ -7,7 +7,7 @@ so analysing a table never shuffles.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, SparkSession
@@ -52,6 +52,11 @@ def _col(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind ``value`` once for use in ``body``, where Spark would compute it per use."""
+    return F.transform(F.array(value), body)[0]
+
+
 def tokenize(text: Column | str) -> Column:
     """Maximal runs of letters and digits, in order."""
     return F.regexp_extract_all(_col(text), F.lit(WORD), F.lit(0))
@@ -174,12 +179,11 @@ def may_hold_term(text: Column | str, terms: Sequence[str]) -> Column:
     """Cheap test that every text holding one of the terms passes, run before analysis."""
     if not terms or any(not t.isascii() for t in terms):
         return F.lit(True)
-    lowered = F.lower(_col(text))
-    tests = [lowered.contains(t[:-1] if t.endswith("y") else t) for t in terms]
-    out = tests[0]
-    for test in tests[1:]:
-        out = out | test
-    return out
+    parts = [t[:-1] if t.endswith("y") else t for t in terms]
+    # Bound once: a plain filter would lower-case the text again for every term.
+    return let(
+        F.lower(_col(text)), lambda low: reduce(lambda a, b: a | b, [low.contains(p) for p in parts])
+    )
 
 
 def query_terms(spark: SparkSession, text: str, stops: Iterable[str] = STOP_WORDS) -> list[str]:

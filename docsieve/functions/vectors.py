@@ -9,12 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsieve.functions.text import _col, index_terms
-
-
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` once for use in ``body``, also where lambdas would recompute it."""
-    return F.transform(F.array(value), body)[0]
+from docsieve.functions.text import _col, index_terms, let
 
 
 def dot(a: Column | str, b: Column | str) -> Column:

@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from docsieve.functions.text import (
     _col,
     index_terms,
+    let,
     may_hold_term,
     query_side_terms,
     query_terms,
     surface_forms,
 )
 from docsieve.functions.predicates import has_any_term, keep
-from docsieve.functions.vectors import let
 from docsieve.operators.select import DEFAULT_ROWS, top_k
 
 K1 = 1.2
@@ -178,6 +178,32 @@ def highlight(
     term is a query term are wrapped in ``<em>``. ``method`` is accepted for its three names,
     which differ only in speed elsewhere.
     """
+    word, lines = _snippets(df, fields, query, snippets, fragsize, method)
+    matching = reduce(lambda a, b: a | b, [F.col(f).rlike(word) for f in fields])
+    return df.where(matching).select(key, F.inline(lines))
+
+
+def with_highlights(
+    hits: DataFrame,
+    fields: Sequence[str],
+    query: str,
+    snippets: int = 3,
+    fragsize: int = 100,
+    method: str = "unified",
+) -> DataFrame:
+    """Search hits with their snippets; hits without any keep one row with nulls.
+
+    The snippets are cut from the hit rows themselves, so the search runs once and no join
+    by key is needed.
+    """
+    _, lines = _snippets(hits, fields, query, snippets, fragsize, method)
+    return hits.select("*", F.inline_outer(lines))
+
+
+def _snippets(
+    df: DataFrame, fields: Sequence[str], query: str, snippets: int, fragsize: int, method: str
+) -> tuple[str, Column]:
+    """Pattern of the words to mark, and the array of (field, rank, snippet) of a row."""
     if method not in ("unified", "original", "fastVector"):
         raise ValueError(f"unknown highlight method {method!r}")
     forms = surface_forms(df.sparkSession, query)
@@ -207,17 +233,8 @@ def highlight(
             ),
         )
 
-    matching = reduce(lambda a, b: a | b, [F.col(f).rlike(word) for f in fields])
-    lines = F.concat(*[F.coalesce(best(f), F.array().cast(_SNIPPETS)) for f in fields])
-    return df.where(matching).select(key, F.inline(lines))
-
-
-_SNIPPETS = "array<struct<field:string,rank:int,snippet:string>>"
-
-
-def with_highlights(hits: DataFrame, snippets: DataFrame, key: str) -> DataFrame:
-    """Search hits with their snippets; hits without any keep one row with nulls."""
-    return hits.join(snippets, key, "left")
+    nothing = F.array().cast("array<struct<field:string,rank:int,snippet:string>>")
+    return word, F.concat(*[F.coalesce(best(f), nothing) for f in fields])
 
 
 def diagnose(df: DataFrame, fields: Sequence[str], term: str) -> DataFrame:

@@ -159,13 +159,8 @@ def highlight_fields(t: Tables) -> DataFrame:
 def search_with_highlights(t: Tables) -> DataFrame:
     """Fragments are only cut for the hits."""
     hits = K.search(t.wide("documents"), "text", WORDS, "doc_id").select("doc_id", "text", "score")
-    marked = K.highlight(hits, "doc_id", ["text"], WORDS)
-    return rounded(
-        K.with_highlights(hits.select("doc_id", "score"), marked, "doc_id")
-        .select("doc_id", "score", "rank", "snippet")
-        .fillna({"rank": 0, "snippet": ""}),
-        "score",
-    )
+    marked = K.with_highlights(hits, ["text"], WORDS).select("doc_id", "score", "rank", "snippet")
+    return rounded(marked.fillna({"rank": 0, "snippet": ""}), "score")
 
 
 # levenshtein counts bytes there; one ASCII capital per accented letter makes it count letters.

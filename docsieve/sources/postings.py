@@ -9,8 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsieve.functions.text import _col, index_terms, query_terms
-from docsieve.functions.vectors import let
+from docsieve.functions.text import _col, index_terms, let, query_terms
 from docsieve.operators.keyword import bm25_weight
 
 BUCKETS = 64
