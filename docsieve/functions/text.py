@@ -186,22 +186,32 @@ def may_hold_term(text: Column | str, terms: Sequence[str]) -> Column:
     )
 
 
+# Terms of query texts seen before; a pure function of the text and the stop words.
+_analysed: dict[tuple, list[str]] = {}
+
+
 def query_terms(spark: SparkSession, text: str, stops: Iterable[str] = STOP_WORDS) -> list[str]:
     """Distinct terms of one query text, by the same expressions as the table side."""
-    row = spark.range(1).select(F.array_distinct(query_side_terms(F.lit(text), stops)).alias("t"))
-    return row.first()["t"]
+    asked = ("terms", text, tuple(stops))
+    if asked not in _analysed:
+        terms = F.array_distinct(query_side_terms(F.lit(text), stops))
+        _analysed[asked] = spark.range(0, 1, 1, 1).select(terms.alias("t")).first()["t"]
+    return list(_analysed[asked])
 
 
 def surface_forms(spark: SparkSession, text: str, stops: Iterable[str] = STOP_WORDS) -> list[str]:
     """Lower-case words that the index chain maps to a term of the query text."""
-    terms = spark.range(1).select(F.explode(query_side_terms(F.lit(text), stops)).alias("term"))
-    t = F.col("term")
-    forms = F.array(
-        t, F.concat(t, F.lit("s")), F.concat(F.regexp_replace(t, "y$", ""), F.lit("ies"))
-    )
-    hits = F.filter(forms, lambda f: stem(f) == t)
-    rows = terms.select(F.explode(hits).alias("form")).distinct().orderBy("form").collect()
-    return [r["form"] for r in rows]
+    asked = ("forms", text, tuple(stops))
+    if asked not in _analysed:
+
+        def forms(t: Column) -> Column:
+            plural = F.concat(F.regexp_replace(t, "y$", ""), F.lit("ies"))
+            return F.filter(F.array(t, F.concat(t, F.lit("s")), plural), lambda f: stem(f) == t)
+
+        every = F.flatten(F.transform(query_side_terms(F.lit(text), stops), forms))
+        row = spark.range(0, 1, 1, 1).select(F.sort_array(F.array_distinct(every)).alias("f"))
+        _analysed[asked] = row.first()["f"]
+    return list(_analysed[asked])
 
 
 def with_synonyms(words: Column | str, groups: Sequence[Sequence[str]] = SYNONYM_GROUPS) -> Column:

@@ -36,13 +36,16 @@ def term_frequencies(text: Column | str, terms: Sequence[str]) -> Column:
 
     The text is analysed once, whatever the number of terms.
     """
-    return let(
-        index_terms(text),
-        lambda bag: F.struct(
-            F.size(bag).alias("dl"),
-            F.array(*[F.size(bag) - F.size(F.array_remove(bag, t)) for t in terms]).alias("tf"),
-        ),
-    )
+
+    def counted(bag: Column) -> Column:
+        # Query terms are few, so one pass leaves a short list to count in.
+        asked = let(
+            F.filter(bag, lambda w: w.isin(list(terms))),
+            lambda hits: F.array(*[F.size(hits) - F.size(F.array_remove(hits, t)) for t in terms]),
+        )
+        return F.struct(F.size(bag).alias("dl"), asked.alias("tf"))
+
+    return let(index_terms(text), counted)
 
 
 def score(
@@ -117,7 +120,7 @@ def phrase(df: DataFrame, text: Column | str, query: str) -> DataFrame:
 
 
 def query_terms_in_order(df: DataFrame, query: str) -> list[str]:
-    row = df.sparkSession.range(1).select(query_side_terms(F.lit(query)).alias("t")).first()
+    row = df.sparkSession.range(0, 1, 1, 1).select(query_side_terms(F.lit(query)).alias("t")).first()
     if not row["t"]:
         raise ValueError("the query has no terms")
     return row["t"]
