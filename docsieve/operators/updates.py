@@ -165,12 +165,16 @@ def delete(
 
 
 def _versioned_winners(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
-    """Per key the first change whose expected version is the stored one."""
-    stored = base.select(key, F.col(VERSION).alias("stored"))
-    fits = changes.join(stored, key).where(F.col("expected") == F.col("stored"))
-    rest = [c for c in changes.columns if c != key]
-    first = fits.groupBy(key).agg(F.min_by(F.struct(*rest), SEQ).alias("first"))
-    return first.select(key, *[F.col(f"first.{c}").alias(c) for c in rest])
+    """Per key the first change whose expected version is the stored one.
+
+    Changes are cut down to one per key and expected version before they meet the base.
+    """
+    rest = [c for c in changes.columns if c not in (key, "expected")]
+    first = changes.groupBy(key, "expected").agg(F.min_by(F.struct(*rest), SEQ).alias("first"))
+    stored = base.select(key, F.col(VERSION).alias("expected"))
+    return first.join(stored, [key, "expected"]).select(
+        key, "expected", *[F.col(f"first.{c}").alias(c) for c in rest]
+    )
 
 
 def update_versioned(base: DataFrame, changes: DataFrame, key: str, field: str) -> DataFrame:
