@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsieve.llm import fingerprints, licenses, mixing, quality
+from docsieve.llm import fingerprints, htmltext, licenses, mixing, packing, quality, urls, warc
 from docsieve.llm.common import held, n_words, whole, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +56,11 @@ SELECT doc_id, size, source_size, target,
   ((floor(rate * rank + o) - floor(rate * (rank - 1) + o)) * size)::BIGINT AS taken FROM r"""
 
 
+def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    pages = htmltext.main_text(_table(spark, folder, "pages"), "url", "html", ["page_id", "url"])
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "lang", "text")
     measured = written(quality.features(docs, "text").drop("text"), "features")
@@ -112,6 +118,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND NOT ({over}) AS kept FROM fb f"""
 
 
+# host, path, verdict
+URL_RULES = [
+    ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
+]
+
+
+def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    """The list is made of the pages' own links: addresses seen with a campaign parameter."""
+    pages = _table(spark, folder, "pages")
+    listed = pages.where(F.col("url").rlike("[?&]utm_source=")).select(urls.canonical(F.col("url")).alias("key"))
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    verdicts = urls.judged(pages, "url", rules, listed).withColumnRenamed("url", "_url")
+    joined = pages.join(verdicts, pages["url"].eqNullSafe(verdicts["_url"]))
+    return joined.select("page_id", "host", "path", "rule", "verdict")
+
+
+OP5_SQL = r"""
+WITH p AS (
+  SELECT page_id, coalesce(url, '') AS url,
+    translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path,
+    list_sort(list_filter(string_split(regexp_extract(coalesce(url, ''), '(?s)^.*?://[^?#]*\?([^#]*)', 1), '&'),
+      lambda x: x <> '' AND NOT regexp_matches(x, '^(utm_[a-z]+|ref|fbclid|gclid)(=|$)'))) AS q
+  FROM pages),
+c AS (
+  SELECT *, regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '')
+    || CASE WHEN len(q) > 0 THEN '?' || array_to_string(q, '&') ELSE '' END AS key FROM p),
+r(h, p, v) AS (VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')),
+m AS (
+  SELECT page_id, url, host, path, key, (
+    SELECT max({'n': len(h || p), 'rule': h || p, 'v': v}) FROM r
+    WHERE (c.host = h OR ends_with(c.host, '.' || h)) AND starts_with(c.path, p)) AS best FROM c)
+SELECT page_id, host, path, best.rule AS rule,
+  coalesce(best.v, CASE WHEN key IN (SELECT key FROM c WHERE regexp_matches(url, '[?&]utm_source=')) THEN 'block' ELSE 'allow' END) AS verdict
+FROM m"""
+
+
 def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(_table(spark, folder, "documents"), "doc_id", "text")
     return found.withColumnRenamed("key", "doc_id")
@@ -153,6 +196,37 @@ SELECT doc_id, n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_
 FROM m LEFT JOIN b USING (rid) LEFT JOIN s USING (rid)"""
 
 
+def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
+    packed = packing.pack(
+        _table(spark, folder, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken")
+    )
+    return packed.withColumnRenamed("key", "doc_id")
+
+
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    pages = _table(spark, folder, "pages")
+    archives = warc.archive(spark, pages, "page_id", "url", "html")
+    found = warc.digests(warc.read(archives, payload=False))
+    kind = pages.schema["page_id"].dataType
+    return found.select(
+        F.col("record").cast(kind).alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
+OP9_SQL = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+b AS (
+  SELECT *, max(page_id) OVER (PARTITION BY hex) AS keeper,
+    array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      (('0x' || substr(hex, (i // 8 * 10 + 1)::INT, 10))::BIGINT >> (35 - i % 8 * 5)::INT & 31)::INT + 1, 1)), '') AS payload_digest
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id IS NOT DISTINCT FROM keeper THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id IS DISTINCT FROM keeper THEN keeper END AS refers_to FROM b"""
+
+
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     pairs = fingerprints.edited_pairs(_table(spark, folder, "documents"), "doc_id", "text")
     sketched = held(
@@ -202,13 +276,19 @@ SELECT doc_id, len(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
 
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
+    "op2_main_text": op2_main_text,
     "op4_quality_rules": op4_quality_rules,
+    "op5_url_filter": op5_url_filter,
     "op6_license_scan": op6_license_scan,
+    "op8_pack": op8_pack,
+    "op9_warc": op9_warc,
     "op10_fingerprints": op10_fingerprints,
 }
 SQL: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
     "op4_quality_rules": _op4_sql(),
+    "op5_url_filter": OP5_SQL,
+    "op9_warc": OP9_SQL,
     "op6_license_scan": _op6_sql(),
     "op10_fingerprints": _op10_sql(),
 }
