@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsieve.llm import fingerprints, htmltext, licenses, mixing, packing, quality, urls, warc
+from docsieve.llm import fingerprints, htmltext, licenses, mixing, nearjoin, packing, quality, urls, warc
 from docsieve.llm.common import held, n_words, whole, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,6 +196,27 @@ SELECT doc_id, n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word, last_
 FROM m LEFT JOIN b USING (rid) LEFT JOIN s USING (rid)"""
 
 
+def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    groups = nearjoin.near_groups(_table(spark, folder, "documents"), "doc_id", "text", k=3, percent=90)
+    return groups.withColumnRenamed("key", "doc_id")
+
+
+OP7_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {W_SQL}) AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN []
+    ELSE list_transform(range(1, greatest(len(ws) - 3, 0) + 2), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS g FROM w),
+e AS (SELECT doc_id, len(g) AS n, unnest(g) AS x FROM s),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.x = b.x AND a.n * 100 >= 90 * b.n AND b.n * 100 >= 90 * a.n
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+c AS (SELECT doc_id, doc_id AS r FROM s UNION SELECT c.doc_id, p.b FROM c JOIN p ON p.a = c.r)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, (SELECT min(r) FROM c WHERE c.doc_id = s.doc_id) AS component_id FROM s"""
+
+
 def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(
         _table(spark, folder, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -280,6 +301,7 @@ QUERIES: dict[str, Query] = {
     "op4_quality_rules": op4_quality_rules,
     "op5_url_filter": op5_url_filter,
     "op6_license_scan": op6_license_scan,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_pack": op8_pack,
     "op9_warc": op9_warc,
     "op10_fingerprints": op10_fingerprints,
@@ -288,6 +310,7 @@ SQL: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
     "op4_quality_rules": _op4_sql(),
     "op5_url_filter": OP5_SQL,
+    "op7_jaccard_join": OP7_SQL,
     "op9_warc": OP9_SQL,
     "op6_license_scan": _op6_sql(),
     "op10_fingerprints": _op10_sql(),
