@@ -97,6 +97,6 @@ def copies(
 
 def mix(docs: DataFrame, key: str, source: str, size: Column, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it was drawn. Same cases as ``copies``."""
-    sized = copies(docs.withColumn("mix_words", size), key, source, "mix_words", **options)
+    sized = copies(docs.withColumn("_mixed_size", size), key, source, "_mixed_size", **options)
     drawn = sized.withColumn("mix_copy", F.explode(F.expr("sequence(1L, mix_copies)")))
     return drawn.where("mix_copies > 0").select(*docs.columns)

@@ -38,9 +38,14 @@ def shingle_set(text: Column, k: int) -> Column:
     return F.sort_array(F.array_distinct(let(words(lower_ascii(whole(text))), lambda w: shingle_hashes(w, k))))
 
 
+def text_hash(text: Column) -> Column:
+    return F.xxhash64(whole(text))
+
+
 def _sets(docs: DataFrame, key: str, text: str, k: int) -> DataFrame:
     name = F.coalesce(docs[key].cast("string"), F.lit(""))
-    return held(docs.select(docs[key].alias("key"), name.alias("rep"), docs[text].alias("_t")), arr=shingle_set(F.col("_t"), k))
+    rows = docs.select(docs[key].alias("key"), name.alias("rep"), docs[text].alias("_t"))
+    return held(rows, arr=shingle_set(F.col("_t"), k)).withColumn("text_hash", text_hash(F.col("_t"))).drop("_t")
 
 
 def needed_overlap(n: np.ndarray | int, m: np.ndarray | int, percent: int):
@@ -78,7 +83,7 @@ def _counters(sets: DataFrame, counters: int) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, percent: int, counters: int) -> DataFrame:
-    """(key, rep, node, n, bits, prefix) of every text with a word."""
+    """(key, text_hash, rep, node, n, bits, prefix) of every text with a word."""
     sets = sets.where("size(arr) > 0")
     shared = sets.sparkSession.sparkContext.broadcast(_counters(sets, counters))
     key_type = sets.schema["key"].dataType.simpleString()
@@ -100,13 +105,13 @@ def prefixes(sets: DataFrame, percent: int, counters: int) -> DataFrame:
                 np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32), np.concatenate(prefix)
             )
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("rep"), batch.column("node"), pa.array(n, pa.int32()),
+                [batch.column("key"), batch.column("text_hash"), batch.column("rep"), batch.column("node"), pa.array(n, pa.int32()),
                  pa.array(bits, pa.binary()), lists],
-                ["key", "rep", "node", "n", "bits", "prefix"],
+                ["key", "text_hash", "rep", "node", "n", "bits", "prefix"],
             )
 
     return sets.withColumn("node", F.xxhash64("arr")).mapInArrow(
-        reduce_, f"key {key_type}, rep string, node long, n int, bits binary, prefix array<long>"
+        reduce_, f"key {key_type}, text_hash long, rep string, node long, n int, bits binary, prefix array<long>"
     )
 
 
@@ -270,7 +275,7 @@ def near_groups(
     counters: int = COUNTERS,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
-    """(key, n_shingles, component_id), one row per row of ``docs``.
+    """(key, text_hash, n_shingles, component_id), one row per row of ``docs``.
 
     Rows link when 100 * intersection >= ``percent`` * union of their shingle sets. A text of
     fewer than ``k`` words is one shingle; null, empty and blank texts have no shingle and link
@@ -304,13 +309,13 @@ def near_groups(
     ).select("a", "b")
     roots = written(components(links.unionByName(more)), "roots")
 
-    placed = rows.select("key", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = rows.select("key", "text_hash", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy(F.col("root").alias("_r")).agg(F.min("key").alias("component_id"))
     linked = placed.join(smallest, F.col("root") == F.col("_r")).select(
-        "key", F.col("n").cast("long").alias("n_shingles"), "component_id"
+        "key", "text_hash", F.col("n").cast("long").alias("n_shingles"), "component_id"
     )
     alone = docs.where(~F.coalesce(docs[text].cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")).select(
-        docs[key].alias("key"), F.lit(0).cast("long").alias("n_shingles"), docs[key].alias("component_id")
+        docs[key].alias("key"), text_hash(docs[text]).alias("text_hash"), F.lit(0).cast("long").alias("n_shingles"), docs[key].alias("component_id")
     )
     return linked.unionByName(alone)
 

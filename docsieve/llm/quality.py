@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsieve.llm.common import WORD, held, let, whole, words
+from docsieve.llm.common import WORD, held, let, whole, words, written
 
 SYMBOLS = "#*$%&|<>"
 # Score of the features, and the cutoffs tried, from the tightest on.
@@ -162,7 +162,8 @@ def judged(
     verdicts = labels.select(labels[key].alias("_k"), good.alias("_good"))
     verdicts = verdicts.groupBy("_k").agg(F.min("_good").alias("_good")).where("_good AND _k IS NOT NULL")
     good_rows = rows.where(~base).join(verdicts, rows[key] == F.col("_k"), "left_semi")
-    cut = cutoffs(good_rows, "_stratum", rules, max_loss, error)
+    # Written first: its size is then known, and the documents need not move to meet it.
+    cut = written(cutoffs(good_rows, "_stratum", rules, max_loss, error), "cutoffs")
     over = [
         F.coalesce(F.expr(f"coalesce({score}, 0)") > F.col(f"_cut_{rule}"), F.lit(False))
         for rule, (score, _) in rules.items()

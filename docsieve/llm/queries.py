@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsieve.llm import fingerprints, htmltext, licenses, mixing, nearjoin, packing, quality, urls, warc
+from docsieve.llm import fingerprints, htmltext, licenses, mixing, nearjoin, packing, quality, repeats, urls, warc
 from docsieve.llm.common import held, n_words, whole, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -61,6 +61,37 @@ def op2_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op3_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    cut = repeats.without_repeats(docs, "doc_id", "text")
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["b"] - s["a"])
+    return cut.select(
+        "doc_id", F.octet_length(whole(F.col("text"))).cast("long").alias("n_bytes"), removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+OP3_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT rid, doc_id, unnest(range(0, len(h) // 2 - 49)) AS i, h FROM d),
+s AS (SELECT rid, doc_id, i, md5(substr(h, 2 * i + 1, 100)) AS x FROM w),
+f AS (SELECT x, min(doc_id) AS least FROM s GROUP BY x),
+c AS (SELECT rid, i FROM s JOIN f USING (x) WHERE least < doc_id),
+g AS (SELECT rid, i, CASE WHEN i - lag(i) OVER (PARTITION BY rid ORDER BY i) <= 50 THEN 0 ELSE 1 END AS head FROM c),
+n AS (SELECT rid, i, sum(head) OVER (PARTITION BY rid ORDER BY i) AS run FROM g),
+r AS (SELECT rid, run, min(i) AS a, max(i) + 50 AS b FROM n GROUP BY rid, run),
+k AS (
+  SELECT rid, run, b, a, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY run), 0) AS since FROM r),
+j AS (
+  SELECT d.rid, string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY run) AS head, max(b) AS last,
+    sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans
+  FROM k JOIN d USING (rid) GROUP BY d.rid)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+  coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(head || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN j USING (rid)"""
+
+
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "lang", "text")
     measured = written(quality.features(docs, "text").drop("text"), "features")
@@ -198,7 +229,7 @@ FROM m LEFT JOIN b USING (rid) LEFT JOIN s USING (rid)"""
 
 def op7_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     groups = nearjoin.near_groups(_table(spark, folder, "documents"), "doc_id", "text", k=3, percent=90)
-    return groups.withColumnRenamed("key", "doc_id")
+    return groups.withColumnRenamed("key", "doc_id").drop("text_hash")
 
 
 OP7_SQL = f"""
@@ -298,6 +329,7 @@ SELECT doc_id, len(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_main_text": op2_main_text,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_quality_rules": op4_quality_rules,
     "op5_url_filter": op5_url_filter,
     "op6_license_scan": op6_license_scan,
@@ -308,6 +340,7 @@ QUERIES: dict[str, Query] = {
 }
 SQL: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
+    "op3_suffix_dedup": OP3_SQL,
     "op4_quality_rules": _op4_sql(),
     "op5_url_filter": OP5_SQL,
     "op7_jaccard_join": OP7_SQL,
