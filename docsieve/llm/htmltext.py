@@ -131,8 +131,6 @@ def _shape(tag: str, attributes: str) -> tuple[str, bool, bool, float]:
     bonus = 1.5 if tag in ("article", "main") or role in ("main", "article") else 1.3 if words & _GOOD else 1.0
     if tag in ("body", "html"):
         bonus = 0.6
-    elif tag not in _CONTAINERS:
-        bonus = min(bonus, 0.3)
     name = tag + "".join(f".{re.sub('[0-9]+', '0', c)}" for c in sorted(found.get("class", "").split()))
     return name, dropped, tag == "header", bonus
 
@@ -193,7 +191,7 @@ def blocks(page: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
             node = _node(value, attributes, stack[-1], articles > 0)
             articles += value in ("article", "main")
             stack.append(node)
-            if not node.dropped:
+            if not node.dropped and (value in _CONTAINERS or value == "body"):
                 nodes.append(node)
         else:
             for i in range(len(stack) - 1, 0, -1):

@@ -97,6 +97,9 @@ def copies(
 
 def mix(docs: DataFrame, key: str, source: str, size: Column, **options) -> DataFrame:
     """The mix itself: the rows of ``docs``, each as often as it was drawn. Same cases as ``copies``."""
-    sized = copies(docs.withColumn("_mixed_size", size), key, source, "_mixed_size", **options)
-    drawn = sized.withColumn("mix_copy", F.explode(F.expr("sequence(1L, mix_copies)")))
-    return drawn.where("mix_copies > 0").select(*docs.columns)
+    names = docs.columns
+    own = {name: f"c{i}" for i, name in enumerate(names)}
+    plain = docs.select(*[docs[name].alias(c) for name, c in own.items()], size.alias("size"))
+    drawn = copies(plain, own[key], own[source], "size", **options).where("mix_copies > 0")
+    drawn = drawn.withColumn("copy", F.explode(F.expr("sequence(1L, mix_copies)")))
+    return drawn.select(*[F.col(c).alias(name) for name, c in own.items()])
