@@ -17,11 +17,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docsieve.functions.text import _col, copy_to_text, index_terms, may_hold_term, query_terms
+from docsieve.functions.text import _col, copy_to_text, index_terms, may_hold_term, query_side_terms, query_terms
 
 MATCH_ALL = "*:*"
 _RANGE = re.compile(r"^\[\s*(\S+)\s+TO\s+(\S+)\s*\]$")
-_QUOTED_OR_PAIR = re.compile(r"'(?:[^']|'')*'|\b([A-Za-z_]\w*):([\w*./+-]+)")
+# Quoted text, quoted names and comments stay as they are.
+_QUOTED_OR_PAIR = re.compile(
+    r"""'(?:[^']|'')*'|"(?:[^"]|"")*"|`(?:[^`]|``)*`|--[^\n]*|/\*.*?\*/|\b([A-Za-z_]\w*):(?!:)([\w*./+:-]*[\w*./+-])""", re.S
+)
+_VALUE_FORM = re.compile(r"""\b([A-Za-z_]\w*)\s*=\s*'(\[\s*\S+\s+TO\s+\S+\s*\]|\([^()']+\))'""")
 
 
 def has_any_term(text: Column | str, terms: Sequence[str]) -> Column:
@@ -32,6 +36,15 @@ def has_any_term(text: Column | str, terms: Sequence[str]) -> Column:
     return may_hold_term(text, terms) & F.arrays_overlap(index_terms(text), wanted)
 
 
+def has_phrase(spark: SparkSession, text: Column | str, phrase: str) -> Column:
+    """True when the analysed words of the phrase follow each other in the text; none match nothing."""
+    row = spark.range(0, 1, 1, 1).select(query_side_terms(F.lit(phrase)).alias("t")).first()
+    if not row["t"]:
+        return F.lit(False)
+    line = F.concat(F.lit(" "), F.array_join(query_side_terms(text), " "), F.lit(" "))
+    return line.contains(f" {' '.join(row['t'])} ")
+
+
 def keep(df: DataFrame, condition: Column) -> DataFrame:
     """Filter by a test that is expensive per row.
 
@@ -62,7 +75,9 @@ def clause(df: DataFrame, spec: str, text_fields: Iterable[str] = ()) -> Column:
     if spec == MATCH_ALL:
         return F.lit(True)
     field, sep, value = spec.partition(":")
-    value = value.strip().strip("'\"")
+    value = value.strip()
+    quoted = len(value) > 1 and value[0] == value[-1] and value[0] in "'\""
+    value = value.strip("'\"")
     if not sep or not value:
         raise ValueError(f"not a field:value clause: {spec!r}")
     if field != "*" and field not in df.columns:
@@ -74,6 +89,8 @@ def clause(df: DataFrame, spec: str, text_fields: Iterable[str] = ()) -> Column:
     if field == "*":
         strings = [f.name for f in df.schema.fields if _is_text(f.dataType)]
         return has_any_term(copy_to_text(*strings), query_terms(df.sparkSession, words))
+    if field in set(text_fields) and quoted:
+        return has_phrase(df.sparkSession, field, value)
     if field in set(text_fields):
         return has_any_term(field, query_terms(df.sparkSession, words))
     if words is not value:
@@ -135,9 +152,10 @@ def apply_filters(df: DataFrame, filters: Any, text_fields: Iterable[str] = ())
 
 
 def expand_shorthand(sql: str) -> str:
-    """Rewrite ``field:value`` in a SQL text to ``field = 'value'``, outside quoted literals.
+    """Rewrite ``field:value`` in a SQL text to ``field = 'value'``, outside quotes and comments.
 
-    Spark itself would read ``a:b`` as a path into a variant.
+    Spark itself would read ``a:b`` as a path into a variant. The value may hold colons itself, as
+    a timestamp does.
     """
 
     def rewrite(m: re.Match) -> str:
@@ -146,6 +164,23 @@ def expand_shorthand(sql: str) -> str:
     return _QUOTED_OR_PAIR.sub(rewrite, sql)
 
 
+def expand_values(sql: str) -> str:
+    """Rewrite ``field = '[low TO high]'`` to a range and ``field = '(a b)'`` to a list of values."""
+
+    def rewrite(m: re.Match) -> str:
+        field, value = m.groups()
+        if value.startswith("("):
+            return f"{field} IN ({', '.join(repr(v) for v in value[1:-1].split())})"
+        low, high = _RANGE.match(value).groups()
+        ends = [f"{field} {sign} '{end}'" for sign, end in ((">=", low), ("<=", high)) if end != "*"]
+        return f"({' AND '.join(ends) or f'{field} IS NOT NULL'})"
+
+    return _VALUE_FORM.sub(rewrite, sql)
+
+
 def select_sql(spark: SparkSession, sql: str, **tables: DataFrame) -> DataFrame:
-    """Run a SELECT with shorthand over the given DataFrames."""
-    return spark.sql(expand_shorthand(sql).format(**{t: f"{{{t}}}" for t in tables}), **tables)
+    """Run a SELECT with shorthand over the given DataFrames, named as ``{name}`` in the text."""
+    text = expand_values(expand_shorthand(sql)).replace("{", "{{").replace("}", "}}")
+    for name in tables:
+        text = text.replace(f"{{{{{name}}}}}", f"{{{name}}}")
+    return spark.sql(text, **tables)

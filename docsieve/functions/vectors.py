@@ -12,11 +12,6 @@ from pyspark.sql import types as T
 from docsieve.functions.text import _col, index_terms, let
 
 
-def dot(a: Column | str, b: Column | str) -> Column:
-    products = F.zip_with(_col(a), _col(b), lambda x, y: x.cast("double") * y.cast("double"))
-    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
-
-
 def norm(v: Column | str) -> Column:
     return F.sqrt(
         F.aggregate(
@@ -25,11 +20,6 @@ def norm(v: Column | str) -> Column:
     )
 
 
-def cosine(a: Column | str, b: Column | str) -> Column:
-    size = norm(a) * norm(b)
-    return F.when(size > 0, dot(a, b) / size).otherwise(F.lit(0.0))
-
-
 def l2_normalize(v: Column | str) -> Column:
     """Scale to unit length; the zero vector stays as it is."""
     pair = F.struct(_col(v).cast("array<double>").alias("v"), norm(v).alias("n"))
@@ -53,26 +43,35 @@ def term_bucket(term: Column, dim: int) -> Column:
     return F.conv(F.substring(F.md5(term.cast("binary")), 1, 8), 16, 10).cast("bigint") % dim
 
 
-def embed_text(text: Column | str, dim: int = 64) -> Column:
-    """Hashed bag of words (Weinberger et al. 2009), unit length, without leaving the JVM.
+def bucket_counts(buckets: Column, dim: int) -> Column:
+    """How often each of ``dim`` bucket numbers occurs: sort them, measure the runs, fill the gaps.
 
-    Every term becomes a marker such as ``|17|``; a bucket is counted by the length that
-    removing its marker takes away, which is a plain byte scan instead of a lambda per term.
+    One pass after the sort, whatever the number of dimensions.
     """
-    markers = F.transform(
-        index_terms(text), lambda t: F.concat(F.lit("|"), term_bucket(t, dim), F.lit("|"))
-    )
 
-    def counts(line: Column) -> Column:
-        whole = F.octet_length(line)
-        return F.array(
-            *[
-                (whole - F.octet_length(F.replace(line, F.lit(m)))) / len(m)
-                for m in (f"|{i}|" for i in range(dim))
-            ]
+    def runs(b: Column) -> Column:
+        starts = F.filter(
+            F.transform(b, lambda x, i: F.when((i == 0) | (x != F.get(b, i - 1)), i)), lambda i: i.isNotNull()
         )
+        return let(starts, lambda at: F.transform(at, lambda i, n: F.struct(
+            F.get(b, i).cast("int").alias("bucket"),
+            (F.coalesce(F.get(at, n + 1), F.size(b)) - i).cast("double").alias("n"),
+        )))
+
+    def dense(found: Column) -> Column:
+        last = lambda j: F.coalesce(F.get(found, j)["bucket"], F.lit(-1))
+        filled = F.flatten(F.transform(found, lambda x, j: F.concat(
+            F.array_repeat(F.lit(0.0), x["bucket"] - last(j - 1) - 1), F.array(x["n"])
+        )))
+        return F.concat(filled, F.array_repeat(F.lit(0.0), dim - 1 - last(F.size(found) - 1)))
+
+    return let(let(F.sort_array(buckets), runs), dense)
 
-    return let(let(F.array_join(markers, ""), counts), l2_normalize)
+
+def embed_text(text: Column | str, dim: int = 64) -> Column:
+    """Hashed bag of words (Weinberger et al. 2009), unit length, without leaving the JVM."""
+    buckets = F.transform(index_terms(text), lambda t: term_bucket(t, dim))
+    return let(bucket_counts(buckets, dim), l2_normalize)
 
 
 def embedding_udf(get_vectors: Callable[[list[str]], list[list[float]]]):

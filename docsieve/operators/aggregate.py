@@ -100,11 +100,6 @@ def _line(part: str, field: str, name: Column, amount: Column) -> Column:
     )
 
 
-def top_facets(df: DataFrame, fields: Sequence[str], limit: int) -> DataFrame:
-    """Facets in report order: by count, then value."""
-    return facets(df, fields).orderBy(F.desc("count"), "field", "value").limit(limit)
-
-
 def term_counts(df: DataFrame, terms: Column | str) -> DataFrame:
     """Term to number of documents that hold it.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,11 +39,11 @@ def sort_columns(df: DataFrame, spec: str | None) -> list[Column]:
             df.schema[field].dataType, (T.ArrayType, T.MapType, T.StructType)
         ):
             raise ValueError(f"cannot sort by {field!r}")
-        out.append(order_column(field, direction or default_direction(field, df)))
+        out.append(order_column(field, direction or default_direction(field)))
     return out
 
 
-def default_direction(field: str, df: DataFrame | None = None) -> str:
+def default_direction(field: str) -> str:
     """Score sorts best first; every stored field sorts ascending."""
     return "desc" if field == "score" else "asc"
 
@@ -80,5 +80,18 @@ def top_k(df: DataFrame, score: str, key: str, k: int = DEFAULT_ROWS) -> DataFra
     return df.orderBy(F.desc(score), F.asc(key)).limit(k)
 
 
-def column_names(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
-    return [c for c in df.columns if c not in set(exclude)]
+def numbered(ordered: DataFrame, name: str, path: str) -> DataFrame:
+    """A sorted frame with each row's place from 1 on, without bringing the rows to one task.
+
+    The sort leaves ranges in numbered partitions. They are written to ``path`` with their ids, and
+    a place is the id within the range plus the rows of the ranges before it, one row per range.
+    """
+    marked = ordered.withColumn("_id", F.monotonically_increasing_id())
+    marked.write.parquet(path)
+    rows = ordered.sparkSession.read.schema(marked.schema).parquet(path)
+    part, inner = F.shiftright("_id", 33), F.col("_id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_part", F.coalesce(before, F.lit(0)).alias("_before"))
+    placed = rows.withColumn("_part", part).join(starts, "_part")
+    return placed.withColumn(name, F.col("_before") + inner + 1).drop("_id", "_part", "_before")

@@ -7,13 +7,9 @@ from pyspark.sql import functions as F
 
 from docsieve.functions.text import _col, tokenize
 
-# Limits of the default spell checker.
+# The signatures are made for two edits and a shared first letter.
 MAX_EDITS = 2
 MIN_PREFIX = 1
-MAX_INSPECTIONS = 5
-MIN_QUERY_LENGTH = 3
-MAX_QUERY_FREQUENCY = 0.01
-ACCURACY = 0.5
 
 _PIECES = MAX_EDITS + 1
 
@@ -71,15 +67,26 @@ def _signature(term: Column, length: Column, piece: int, text: Column) -> Column
     )
 
 
-def corrections(words: DataFrame, counts: DataFrame, documents: Column) -> DataFrame:
-    """Up to five stored terms per misspelt query word, best first.
+def corrections(
+    words: DataFrame,
+    counts: DataFrame,
+    documents: Column,
+    most: int = 5,
+    min_length: int = 3,
+    max_frequency: float = 0.01,
+    accuracy: float = 0.5,
+) -> DataFrame:
+    """Up to ``most`` stored terms per misspelt query word, best first.
+
+    Words shorter than ``min_length`` and words that more than ``max_frequency`` of the documents
+    hold are not corrected.
 
     ``words(word)`` are distinct query words, ``counts(term, frequency)`` the vocabulary and
     ``documents`` the number of documents. Candidates share the first letter, lie within two
-    edits and keep similarity 1 - d / longest of at least 0.5. Pairs come from an equi-join on
+    edits and keep similarity 1 - d / longest of at least ``accuracy``. Pairs come from an equi-join on
     shared pieces, which finds all of them without comparing every word with every term.
     """
-    asked = words.where(F.length("word") >= MIN_QUERY_LENGTH)
+    asked = words.where(F.length("word") >= min_length)
     left = asked.select("word", F.explode(_query_signatures(F.col("word"))).alias("signature"))
     right = counts.select(
         "term", "frequency", F.explode(_stored_signatures(F.col("term"))).alias("signature")
@@ -88,7 +95,7 @@ def corrections(words: DataFrame, counts: DataFrame, documents: Column) -> DataF
     pairs = (
         left.join(right, "signature")
         .withColumn("distance", F.levenshtein("word", "term", MAX_EDITS))
-        .where((F.col("distance") >= 0) & (similarity >= ACCURACY))
+        .where((F.col("distance") >= 0) & (similarity >= accuracy))
     )
     # A pair can share several pieces; one row per pair remains.
     unique = pairs.groupBy("word", "term").agg(
@@ -98,7 +105,7 @@ def corrections(words: DataFrame, counts: DataFrame, documents: Column) -> DataF
     # vocabulary is needed once only. It is ranked first and leaves one more row to keep.
     order = Window.partitionBy("word").orderBy("distance", F.desc("frequency"), "term")
     best = unique.withColumn("place", F.row_number().over(order)).where(
-        F.col("place") <= MAX_INSPECTIONS + 1
+        F.col("place") <= most + 1
     )
     own = F.max(F.when(F.col("distance") == 0, F.col("frequency"))).over(Window.partitionBy("word"))
     rank = F.col("place") - F.when(F.col("own").isNotNull(), 1).otherwise(0)
@@ -106,8 +113,8 @@ def corrections(words: DataFrame, counts: DataFrame, documents: Column) -> DataF
         best.withColumn("own", own)
         .withColumn("rank", rank)
         .where(F.col("distance") > 0)
-        .where(F.coalesce("own", F.lit(0)) <= documents * MAX_QUERY_FREQUENCY)
-        .where(F.col("rank") <= MAX_INSPECTIONS)
+        .where(F.coalesce("own", F.lit(0)) <= documents * max_frequency)
+        .where(F.col("rank") <= most)
         .select("word", "rank", F.col("term").alias("suggestion"), "distance", "frequency")
     )
 

@@ -8,7 +8,6 @@ by key.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,9 +19,13 @@ VERSION = "version"
 
 
 def latest(changes: DataFrame, key: str, seq: str = SEQ) -> DataFrame:
-    """Last row per key. ``seq`` orders the rows of a batch."""
+    """Last row per key. ``seq`` orders the rows of a batch; without one a row has no place and is an error.
+
+    The buffer is a struct, so this sorts on both sides of the exchange; it still combines before it.
+    """
     rest = [c for c in changes.columns if c != key]
-    last = changes.groupBy(key).agg(F.max_by(F.struct(*rest), seq).alias("last"))
+    placed = F.coalesce(F.col(seq), F.raise_error(F.lit(f"a change has no {seq}")).cast(changes.schema[seq].dataType))
+    last = changes.groupBy(key).agg(F.max_by(F.struct(*rest), placed).alias("last"))
     return last.select(key, *[F.col(f"last.{c}").alias(c) for c in rest]).select(*changes.columns)
 
 
@@ -317,7 +320,3 @@ def commit(
         return view
     view.write.parquet(path)
     return base.sparkSession.read.schema(base.schema).parquet(path)
-
-
-def all_of(conditions: Sequence[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))

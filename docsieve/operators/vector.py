@@ -11,6 +11,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,9 +19,11 @@ from docsieve.functions.scalars import metadata_map
 from docsieve.operators.select import DEFAULT_ROWS
 
 SIMILARITY_THRESHOLD = 0.7
-# A hit list or query batch up to this many rows is small enough to be sent to every task.
+# A hit list of up to this many rows of three numbers is sent to every task; it changes the plan, not the rows.
 BROADCAST_ROWS = 10_000
-BROADCAST_VALUES = 2_000_000
+# Query vectors sent to the tasks at once, and scores that a task holds at once (16 MB).
+CHUNK_ROWS = 2_000
+SCORE_VALUES = 2_000_000
 
 
 def stored_vector(df: DataFrame, key: str, value: object, vector: str = "embedding") -> list[float]:
@@ -31,71 +34,80 @@ def stored_vector(df: DataFrame, key: str, value: object, vector: str = "embeddi
     return [float(x) for x in row[0]]
 
 
-def _top_per_partition(query_ids: list, matrix: np.ndarray, k: int | None):
-    """Task function: (key, vector) batches to the k best (query, key, score) of the task.
+def _units(rows: np.ndarray) -> np.ndarray:
+    length = np.sqrt((rows * rows).sum(axis=1))
+    return rows / np.where(length > 0, length, 1.0)[:, None]
 
-    Nested, so that it travels by value and executors need numpy and pyarrow only.
-    """
-    matrix = np.asarray(matrix, dtype="float64")
-    sizes = np.sqrt((matrix * matrix).sum(axis=1))
-    units = matrix / np.where(sizes > 0, sizes, 1.0)[:, None]
 
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list = [None] * len(query_ids)
+def _matrix(column: pa.Array, dim: int) -> np.ndarray:
+    """A list column without nulls as rows; a vector of another length is an error, never a score."""
+    lengths = pc.list_value_length(column).to_numpy(zero_copy_only=False)
+    wrong = lengths[lengths != dim]
+    if len(wrong):
+        raise ValueError(f"a vector has {wrong[0]} values where the query has {dim}")
+    return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(column), dim)
+
 
-        def out(i, keys, scores):
-            ids = pa.array([query_ids[i]] * len(keys), type=pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [ids, keys, pa.array(scores)], names=["query_id", "key", "score"]
-            )
+def _scorer(query_ids: list, matrix: np.ndarray, k: int | None, threshold: float | None = None):
+    """Task function: (key, vector) batches to (query_id, key, score) rows.
 
+    With ``k`` the k best of every query in the task, else all that reach ``threshold``. Rows
+    without a vector are dropped here: as a Spark filter the test would be pushed below a computed
+    vector column and compute it twice. Scores are made for so many rows at a time that their
+    matrix stays within SCORE_VALUES.
+    """
+    matrix = np.asarray(matrix, dtype="float64")
+    units, dim = _units(matrix), matrix.shape[1]
+    ids = np.asarray(query_ids, dtype=np.int64)
+    step = max(1, SCORE_VALUES // len(ids))
+
+    def best_of(found: pa.Table) -> pa.Table:
+        ordered = found.sort_by([("query", "ascending"), ("score", "descending"), ("key", "ascending")])
+        query = ordered.column("query").to_numpy()
+        first = np.searchsorted(query, query)
+        return ordered.filter(pa.array(np.arange(len(query)) - first < k))
+
+    def out(found: pa.Table) -> Iterator[pa.RecordBatch]:
+        query = pa.array(ids[found.column("query").to_numpy()])
+        table = pa.table({"query_id": query, "key": found.column("key"), "score": found.column("score")})
+        yield from table.combine_chunks().to_batches()
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
         for batch in batches:
-            # Rows without a vector are dropped here: as a Spark filter the test would be
-            # pushed below a computed vector column and compute it twice.
-            if batch.column(1).null_count:
-                batch = batch.filter(batch.column(1).is_valid())
-            if len(batch) == 0:
-                continue
-            column = batch.column(1)
-            flat = column.flatten().to_numpy(zero_copy_only=False).astype("float64")
-            rows = flat.reshape(len(batch), -1)
-            length = np.sqrt((rows * rows).sum(axis=1))
-            scores = (rows @ units.T) / np.where(length > 0, length, 1.0)[:, None]
-            keys = batch.column(0)
-            for i in range(len(query_ids)):
+            batch = batch.filter(batch.column(1).is_valid())
+            for at in range(0, len(batch), step):
+                part = batch.slice(at, step)
+                scores = _units(_matrix(part.column(1), dim)) @ units.T
+                if k is None:
+                    row, query = np.nonzero(scores >= threshold)
+                elif len(part) > k:
+                    # What ties with the k-th best stays for the tie-break by key.
+                    limit = np.partition(scores, len(part) - k, axis=0)[len(part) - k]
+                    row, query = np.nonzero(scores >= limit)
+                else:
+                    row, query = np.nonzero(np.ones_like(scores, dtype=bool))
+                found = pa.table({
+                    "query": pa.array(query), "key": part.column(0).take(pa.array(row)),
+                    "score": pa.array(scores[row, query]),
+                })
                 if k is None:
-                    yield out(i, keys, scores[:, i])
-                    continue
-                mine = scores[:, i]
-                if len(mine) > k:
-                    # Everything that ties with the k-th best stays for the key tie-break.
-                    limit = np.partition(mine, len(mine) - k)[len(mine) - k]
-                    pick = np.flatnonzero(mine >= limit)
+                    yield from out(found)
                 else:
-                    pick = np.arange(len(mine))
-                found = pa.table(
-                    {"key": keys.take(pa.array(pick)), "score": pa.array(mine[pick])}
-                )
-                if kept[i] is not None:
-                    found = pa.concat_tables([kept[i], found])
-                kept[i] = found.sort_by([("score", "descending"), ("key", "ascending")]).slice(0, k)
-        if k is not None:
-            for i, table in enumerate(kept):
-                if table is not None:
-                    table = table.combine_chunks()
-                    for part in table.to_batches():
-                        yield out(i, part.column(0), part.column(1).to_numpy())
-
-    return best
+                    kept = best_of(found if kept is None else pa.concat_tables([kept, found]))
+        if kept is not None:
+            yield from out(kept)
+
+    return score
 
 
 def _scored(
-    df: DataFrame, key: str, vector: str, query_ids: list, matrix: np.ndarray, k: int | None
+    df: DataFrame, key: str, vector: str, query_ids: list, matrix: np.ndarray, k: int | None,
+    threshold: float | None = None,
 ) -> DataFrame:
     key_sql = df.schema[key].dataType.simpleString()
-    rows = df.select(key, vector)
-    task = _top_per_partition(query_ids, matrix, k)
-    return rows.mapInArrow(task, f"query_id bigint, key {key_sql}, score double")
+    task = _scorer(query_ids, matrix, k, threshold)
+    return df.select(key, vector).mapInArrow(task, f"query_id bigint, key {key_sql}, score double")
 
 
 def knn(
@@ -127,8 +139,8 @@ def within(
     vector: str = "embedding",
 ) -> DataFrame:
     """Every row whose cosine score reaches the threshold."""
-    scored = _scored(df, key, vector, [0], np.array([query]), None)
-    return scored.where(F.col("score") >= threshold).select(
+    scored = _scored(df, key, vector, [0], np.array([query]), None, threshold)
+    return scored.select(
         F.col("key").alias(key), "score", (1 - F.col("score")).alias("distance")
     )
 
@@ -193,33 +205,33 @@ def knn_batch(
     vector: str = "embedding",
     query_key: str = "query_id",
     query_vector: str = "query_vector",
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """(query_id, key, score, rank) of the k nearest rows for every query vector.
 
-    The number of queries is checked first. A batch that fits is sent to the tasks and the
-    base table is neither moved nor repeated. A larger one is met block by block: base and
-    queries are cut into blocks of bounded size and every pair of blocks is one group, which
-    returns k rows per query.
+    The queries are dealt into chunks of about ``chunk_rows``. Each chunk is sent to the tasks,
+    which scan the base where it lies; the base is neither moved nor repeated. Queries without a
+    vector have no neighbours.
     """
-    wanted = queries.select(
+    wanted = queries.where(F.col(query_vector).isNotNull()).select(
         F.col(query_key).cast("bigint").alias("query_id"),
         F.col(query_vector).cast("array<double>").alias("query_vector"),
     )
-    few = wanted.limit(BROADCAST_ROWS + 1).toPandas()
-    values = sum(len(v) for v in few["query_vector"])
-    if len(few) <= BROADCAST_ROWS and values <= BROADCAST_VALUES:
-        if few.empty:
-            partial = df.select(
-                F.lit(0).cast("bigint").alias("query_id"),
-                F.col(key).alias("key"),
-                F.lit(0.0).alias("score"),
-            ).where(F.lit(False))
-        else:
-            partial = _scored(
-                df, key, vector, few["query_id"].tolist(), np.stack(few["query_vector"]), k
-            )
-    else:
-        partial = knn_blocks(df, wanted, key, k, vector)
+    chunks = max(1, -(-wanted.count() // chunk_rows))
+    chunk = F.pmod(F.xxhash64("query_id"), F.lit(chunks))
+    partial = None
+    for i in range(chunks):
+        some = wanted.where(chunk == i).toPandas()
+        if some.empty:
+            continue
+        sizes = sorted({len(v) for v in some["query_vector"]})
+        if len(sizes) > 1:
+            raise ValueError(f"query vectors have {sizes[0]} and {sizes[1]} values")
+        part = _scored(df, key, vector, some["query_id"].tolist(), np.stack(some["query_vector"]), k)
+        partial = part if partial is None else partial.unionByName(part)
+    if partial is None:
+        none = df.select(F.lit(0).cast("bigint").alias("query_id"), F.col(key).alias("key"), F.lit(0.0).alias("score"))
+        partial = none.where(F.lit(False))
     return best_per_query(partial, k).withColumnRenamed("key", key)
 
 
@@ -227,65 +239,3 @@ def best_per_query(partial: DataFrame, k: int) -> DataFrame:
     """Rank the partial lists. Spark keeps k rows per query and task before the shuffle."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "key")
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-
-
-def knn_blocks(
-    df: DataFrame,
-    wanted: DataFrame,
-    key: str,
-    k: int,
-    vector: str,
-    block_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
-    """Per query and base block the k best rows, from a co-grouped block join."""
-    base_blocks = max(1, -(-df.count() // block_rows))
-    query_blocks = max(1, -(-wanted.count() // block_rows))
-    key_sql = df.schema[key].dataType.simpleString()
-
-    def block_of(column: str, blocks: int) -> Column:
-        return F.pmod(F.xxhash64(column), F.lit(blocks)).cast("int")
-
-    def all_blocks(blocks: int) -> Column:
-        return F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-
-    base = df.where(F.col(vector).isNotNull()).select(
-        block_of(key, base_blocks).alias("bb"),
-        all_blocks(query_blocks).alias("qb"),
-        F.col(key).alias("key"),
-        F.col(vector).cast("array<double>").alias("vector"),
-    )
-    asked = wanted.select(
-        all_blocks(base_blocks).alias("bb"), block_of("query_id", query_blocks).alias("qb"),
-        "query_id", "query_vector",
-    )
-
-    def best(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = {"query_id": [], "key": [], "score": []}
-        if left.num_rows and right.num_rows:
-            def unit(column):
-                flat = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-                m = flat.reshape(len(column), -1)
-                size = np.sqrt((m * m).sum(axis=1))
-                return m / np.where(size > 0, size, 1.0)[:, None]
-
-            # Sorted by key, so that the stable sort below breaks ties by key.
-            left = left.sort_by("key")
-            scores = unit(right["query_vector"]) @ unit(left["vector"]).T
-            for i, query_id in enumerate(right["query_id"].to_pylist()):
-                pick = np.argsort(-scores[i], kind="stable")[:k]
-                out["query_id"] += [query_id] * len(pick)
-                out["key"] += left["key"].take(pa.array(pick)).to_pylist()
-                out["score"] += scores[i][pick].tolist()
-        return pa.table(
-            {
-                "query_id": pa.array(out["query_id"], pa.int64()),
-                "key": pa.array(out["key"], left["key"].type),
-                "score": pa.array(out["score"], pa.float64()),
-            }
-        )
-
-    return (
-        base.groupBy("bb", "qb")
-        .cogroup(asked.groupBy("bb", "qb"))
-        .applyInArrow(best, f"query_id bigint, key {key_sql}, score double")
-    )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from docsieve.functions.text import STOP_WORDS
-from docsieve.session import scratch_path
+from docsieve.session import SPREAD_PARTITIONS, scratch_path
 from docsieve.sources.tables import scan, spread
 
 TABLE_NAMES = [
@@ -28,8 +28,9 @@ class Tables:
         return scan(self.spark, self.folder, name)
 
     def wide(self, name: str) -> DataFrame:
-        """The table, spread over the cores when it is small; for work that is heavy per row."""
-        return spread(getattr(self, name))
+        """The table for work that is heavy per row, dealt out where the session says how far."""
+        asked = self.spark.conf.get(SPREAD_PARTITIONS, None)
+        return spread(getattr(self, name), int(asked) if asked else None)
 
     def scratch(self, label: str) -> str:
         return scratch_path(self.spark, label)

@@ -224,10 +224,10 @@ def sort_default_dir(t: Tables) -> DataFrame:
     """
     WITH x AS (SELECT d.doc_id, l.quality FROM documents d LEFT JOIN labels l USING (doc_id)),
     a AS (SELECT 'asc' AS direction, row_number() OVER (ORDER BY quality ASC NULLS LAST, doc_id) AS place,
-            doc_id, quality FROM x QUALIFY place <= 500),
+            doc_id, quality FROM x),
     b AS (SELECT 'desc' AS direction, row_number() OVER (ORDER BY quality DESC NULLS LAST, doc_id) AS place,
-            doc_id, quality FROM x QUALIFY place <= 500)
-    SELECT direction, doc_id, coalesce(quality, -1) AS quality
+            doc_id, quality FROM x)
+    SELECT direction, place, doc_id, coalesce(quality, -1) AS quality
     FROM (SELECT * FROM a UNION ALL SELECT * FROM b)
     """,
 )
@@ -235,9 +235,9 @@ def sort_missing_last(t: Tables) -> DataFrame:
     both = t.documents.select("doc_id").join(t.labels.select("doc_id", "quality"), "doc_id", "left")
 
     def first(direction: str) -> DataFrame:
-        rows = Q.sort_by(both, f"quality {direction}", "doc_id").limit(500)
+        rows = Q.numbered(Q.sort_by(both, f"quality {direction}", "doc_id"), "place", t.scratch("sorted"))
         return rows.select(
-            F.lit(direction).alias("direction"), "doc_id",
+            F.lit(direction).alias("direction"), "place", "doc_id",
             F.coalesce("quality", F.lit(-1)).alias("quality"),
         )
 

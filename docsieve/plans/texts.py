@@ -139,14 +139,21 @@ def copy_to_text(t: Tables) -> DataFrame:
     UNION ALL
     SELECT id, '2_stop_words', string_agg(w, ' ' ORDER BY pos) FROM term_kept GROUP BY id
     UNION ALL
+    SELECT id, '3_word_parts', string_agg(w, ' ' ORDER BY pos, part) FROM (
+      SELECT id, pos, 1 AS part, w FROM term_kept WHERE NOT inner_border
+      UNION ALL SELECT id, pos, generate_subscripts(ps, 1), unnest(ps) FROM term_cut) GROUP BY id
+    UNION ALL
+    SELECT id, '4_lower_case', string_agg(w, ' ' ORDER BY pos, part) FROM term_part GROUP BY id
+    UNION ALL
+    SELECT id, '5_stem', string_agg({stem_sql("w")}, ' ' ORDER BY pos, part) FROM term_part GROUP BY id
+    UNION ALL
     SELECT id, '6_distinct', string_agg(term, ' ' ORDER BY pos, part) FROM term GROUP BY id
     """,
 )
 def analyze_trace(t: Tables) -> DataFrame:
     stages = X.analysis_stages("text")
     rows = t.benchmark.select("item_id", *[c.alias(n) for n, c in stages.items()])
-    lines = rows.unpivot("item_id", list(stages), "stage", "value")
-    return lines.where(F.col("stage").isin("1_words", "2_stop_words", "6_distinct"))
+    return rows.unpivot("item_id", list(stages), "stage", "value")
 
 
 @query(

@@ -376,8 +376,11 @@ def commit_hard(t: Tables) -> DataFrame:
     WITH {EMBED_SQL}
     SELECT CAST(doc_id AS VARCHAR) AS id, source AS title, text AS content, CAST(n_chars AS INTEGER) AS section_number_i,
       lang AS author_s, '2024-01-02 03:04:05' AS date_dt, lang || ',' || source AS tags_ss,
-      'hashed-words' AS vector_model_s, 64 AS dimensions_i, round(coalesce(x, 0), 6) AS first_value
-    FROM documents LEFT JOIN (SELECT id, x FROM vec WHERE dim = 0) ON id = doc_id
+      'hashed-words' AS vector_model_s, 64 AS dimensions_i, vector
+    FROM documents JOIN (
+      SELECT doc_id AS id, string_agg(CAST(round(coalesce(x, 0) * 10000) AS INTEGER), ',' ORDER BY d) AS vector
+      FROM (SELECT doc_id, unnest(range(64)) AS d FROM documents) LEFT JOIN vec ON vec.id = doc_id AND dim = d GROUP BY doc_id
+    ) ON id = doc_id
     """,
 )
 def prepare_index(t: Tables) -> DataFrame:
@@ -386,5 +389,5 @@ def prepare_index(t: Tables) -> DataFrame:
         "id", "title", "content", "section_number_i", "author_s",
         F.date_format("date_dt", "yyyy-MM-dd HH:mm:ss").alias("date_dt"),
         F.array_join("tags_ss", ",").alias("tags_ss"), "vector_model_s", "dimensions_i",
-        F.round(F.col("embedding")[0], 6).alias("first_value"),
+        F.array_join(F.transform("embedding", lambda x: F.round(x * 10000).cast("int").cast("string")), ",").alias("vector"),
     )

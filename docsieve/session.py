@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+# Number of tasks that the queries deal small tables out to; unset on clusters, whose tables have many splits.
+SPREAD_PARTITIONS = "spark.docsieve.spreadPartitions"
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -20,6 +24,8 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "8g") ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="docsieve-"))
+        .config(SPREAD_PARTITIONS, str(partitions))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -34,7 +40,7 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
+        if not re.match(r"local(\[|$)", spark.conf.get("spark.master", "")):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         app = spark.conf.get("spark.app.id")
         base = _local_scratch.get(app) or tempfile.mkdtemp(prefix="docsieve-")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsieve.functions.text import _col
+from docsieve.functions.text import _col, let
 
 # Heading form, title of the text before the first heading, chunk sizes.
 HEADING = r"#{1,6}[^\S\n]+[^\n]"
@@ -61,18 +61,27 @@ def explode_sections(df: DataFrame, text: Column | str) -> DataFrame:
 
 
 def front_matter(text: Column | str) -> Column:
-    """Leading ``---`` block of flat ``key: value`` lines as a map; empty without one."""
+    """Leading ``---`` block of ``key: value`` lines as a map; empty without one.
+
+    A key's following ``- item`` lines become the value ``[item, item]``. Of a repeated key the
+    last value stays.
+    """
     block = F.regexp_extract(_col(text), _FRONT_MATTER, 1)
-    lines = F.filter(F.split(block, "\n"), lambda s: s.rlike(r"^[^\s:#][^:]*:"))
-    return F.map_from_entries(
-        F.transform(
-            lines,
-            lambda s: F.struct(
-                strip(F.substring_index(s, ":", 1)).alias("key"),
-                strip(F.regexp_replace(s, "^[^:]*:", "")).alias("value"),
-            ),
-        )
-    )
+    # A list below its key is moved up into the key's line first.
+    flat = F.regexp_replace(block, r"\n[ \t]*-[ \t]+", "\u0001")
+    lines = F.filter(F.split(flat, "\n"), lambda s: s.rlike(r"^[^\s:#\u0001][^:]*:"))
+
+    def entry(s: Column) -> Column:
+        raw = F.regexp_replace(s, "^[^:]*:", "")
+        items = F.concat(F.lit("["), F.replace(F.regexp_replace(raw, "^\\s*\u0001", ""), F.lit("\u0001"), F.lit(", ")), F.lit("]"))
+        value = F.when(raw.rlike("^\\s*\u0001"), items).otherwise(strip(F.replace(raw, F.lit("\u0001"), F.lit(", "))))
+        return F.struct(strip(F.substring_index(s, ":", 1)).alias("key"), value.alias("value"))
+
+    def last_of_key(pairs: Column) -> Column:
+        later = lambda x, i: F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda y: y["key"] == x["key"])
+        return F.map_from_entries(F.filter(pairs, lambda x, i: ~later(x, i)))
+
+    return let(F.transform(lines, entry), last_of_key)
 
 
 def without_front_matter(text: Column | str) -> Column:

@@ -88,6 +88,9 @@ def build(
 def search(spark: SparkSession, path: str, query: str, key: str, rows: int = 10) -> DataFrame:
     """BM25 over the postings: same scores and order as the scan-based search."""
     terms = query_terms(spark, query)
+    if not terms:
+        found = spark.read.parquet(f"{path}/postings").where(F.lit(False))
+        return found.select(F.col("key").alias(key), F.lit(0.0).alias("score"))
     corpus = spark.read.parquet(f"{path}/corpus")
     buckets = corpus.select("buckets").first()["buckets"]
     wanted = [

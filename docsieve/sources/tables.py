@@ -4,39 +4,25 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docsieve.operators.schema import FIELD_TYPES
 
-# Tables up to this size may be moved to use all cores.
-SPREAD_BYTES = 1 << 30
-_sizes: dict[tuple[str, ...], int] = {}
-
 
 def scan(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One collection by name, ignoring case."""
     return spark.read.parquet(f"{folder}/{name.lower()}.parquet")
 
 
-def spread(df: DataFrame, limit: int = SPREAD_BYTES) -> DataFrame:
-    """Spread a small table of few files over all cores, before work that is heavy per row.
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """The rows dealt out to ``partitions`` tasks, where the caller asks for it.
 
-    A file with one row group is read by one task, however many cores wait. Larger tables
-    are never moved: they have enough splits, and moving them would cost more than it gives.
+    A file with one row group is read by one task, however many cores wait. Only the caller knows
+    whether heavy work per row is worth moving the table; without a number it stays where it is.
     """
-    spark = df.sparkSession
-    tasks = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if not files or len(files) >= tasks:
-        return df
-    known = tuple(sorted(files))
-    if known not in _sizes:
-        # Lists file sizes only; the content column is not read.
-        listed = spark.read.format("binaryFile").load(files).agg(F.sum("length"))
-        _sizes[known] = listed.first()[0]
-    return df.repartition(tasks) if _sizes[known] <= limit else df
+    return df.repartition(partitions) if partitions else df
 
 
 def collection_schema(fields: Sequence[dict]) -> T.StructType:
@@ -61,7 +47,9 @@ def create_collection(
 ) -> DataFrame:
     """Create a collection at ``path``, replacing what was there, and return it.
 
-    ``rows`` are matched to the schema by name; columns they lack are empty.
+    ``rows`` are matched to the schema by name; columns they lack are empty. Columns that the
+    schema does not have and nulls in required fields are errors; the latter are found while the
+    rows are written.
     """
     if rows is None:
         rows = spark.createDataFrame([], schema)
@@ -69,14 +57,16 @@ def create_collection(
         missing = [f.name for f in schema.fields if not f.nullable and f.name not in rows.columns]
         if missing:
             raise ValueError(f"required fields missing: {missing}")
-        rows = rows.select(
-            *[
-                (F.col(f.name) if f.name in rows.columns else F.lit(None))
-                .cast(f.dataType)
-                .alias(f.name)
-                for f in schema.fields
-            ]
-        )
+        unknown = [c for c in rows.columns if c not in schema.names]
+        if unknown:
+            raise ValueError(f"fields that the schema does not have: {unknown}")
+
+        def value(f: T.StructField) -> Column:
+            given = (F.col(f.name) if f.name in rows.columns else F.lit(None)).cast(f.dataType)
+            absent = F.raise_error(F.lit(f"required field {f.name} is null")).cast(f.dataType)
+            return (given if f.nullable else F.coalesce(given, absent)).alias(f.name)
+
+        rows = rows.select(*[value(f) for f in schema.fields])
     rows.write.mode("overwrite").parquet(path)
     return spark.read.schema(schema).parquet(path)
 

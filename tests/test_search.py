@@ -71,9 +71,9 @@ def test_batch_paths_agree(spark, vectors):
     asked = [(q, [float(x) for x in rng.normal(size=5)]) for q in range(40)]
     queries = spark.createDataFrame(asked, "query_id bigint, query_vector array<double>")
     sent = V.knn_batch(df, queries, "id", 7)
-    blocks = V.best_per_query(V.knn_blocks(df, queries, "id", 7, "embedding", 50), 7)
+    blocks = V.knn_batch(df, queries, "id", 7, chunk_rows=3)
     a = sorted((r["query_id"], r["rank"], r["id"]) for r in sent.collect())
-    b = sorted((r["query_id"], r["rank"], r["key"]) for r in blocks.collect())
+    b = sorted((r["query_id"], r["rank"], r["id"]) for r in blocks.collect())
     assert a == b
     for q, v in asked:
         assert [i for qq, _, i in a if qq == q] == [i for _, i in expected(known, np.array(v), 7)]

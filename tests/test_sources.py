@@ -73,10 +73,10 @@ def test_required_fields(spark, tmp_path):
     assert [tuple(r) for r in made.collect()] == [("a", 3)]
 
 
-def test_large_tables_are_not_moved(spark):
+def test_tables_are_moved_only_when_asked(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    assert tables.spread(df, limit=1) is df
-    assert tables.spread(df) is not df
+    assert tables.spread(df, None) is df
+    assert tables.spread(df, 3).rdd.getNumPartitions() == 3
 
 
 def test_prepare_fallbacks(spark):
