@@ -8,14 +8,16 @@ the other, so that a fingerprint is plain text and any engine can make the same
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from docsieve.llm.common import let, lower_ascii, whole, words, written
+from docsieve.llm.common import held, let, lower_ascii, whole, words
 
 K = 128
 SHINGLE = 5
 DIGITS = 15
+BLOCK_ROWS = 2000
+MAX_BLOCKS = 40_000
 
 
 def sketch(text: Column, k: int = K, shingle: int = SHINGLE) -> Column:
@@ -68,53 +70,74 @@ def containment(a: Column, b: Column, k: int = K) -> Column:
     return F.when(na == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), r * (na + nb) / ((1 + r) * na)))
 
 
-def successors(ids: DataFrame, key: str) -> DataFrame:
-    """``ids`` with ``next_key``: the following key in descending order; after the last, the first.
+def _block_starts(docs: DataFrame, key: str, rows: int) -> list:
+    """Keys that begin blocks of about ``rows`` rows in descending order; the first is the largest key."""
+    n = docs.count()
+    blocks = max(1, min(n // rows, MAX_BLOCKS))
+    shares = [i / blocks for i in range(blocks, 0, -1)]
+    found = docs.agg(F.percentile_approx(key, shares, 20 * blocks)).first()[0] or []
+    return sorted(set(found), reverse=True)
 
-    Rows are dealt out by ranges of the key and written; inside a range the next row is a window,
-    and only the first row of every range meets the others in one window.
-    """
-    parts = int(ids.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = ids.repartitionByRange(parts, F.desc_nulls_last(key)).withColumn("part", F.spark_partition_id())
-    dealt = written(dealt, "successors")
-    order = [F.desc_nulls_last(key)]
-    firsts = dealt.groupBy("part").agg(F.max(key).alias("first"))
-    one = Window.partitionBy(F.lit(0)).orderBy("part")
-    ring = firsts.select(
-        "part",
-        F.coalesce(F.lead("first").over(one), F.first("first").over(one.rowsBetween(
-            Window.unboundedPreceding, Window.unboundedFollowing))).alias("_beyond"),
-    )
-    inner = Window.partitionBy("part").orderBy(*order)
-    rows = dealt.withColumn("_n", F.lead(key).over(inner)).withColumn("_last", F.lead(F.lit(True)).over(inner).isNull())
-    joined = rows.join(ring, "part")
-    return joined.select(*ids.columns, F.when(F.col("_last"), F.col("_beyond")).otherwise(F.col("_n")).alias("next_key"))
 
+def _block(key: Column, starts: list) -> Column:
+    """Number of the key's block: how many starts lie above it, less one; found in two steps."""
+    if not starts:
+        return F.lit(0)
+    step = max(1, int(len(starts) ** 0.5))
+    above = lambda among: F.size(F.filter(among, lambda s: key.isNull() | (s >= key)))
+    numbers = lambda values: F.array(*[F.lit(v) for v in values])
+    groups = [starts[i : i + step] for i in range(0, len(starts), step)]
+    coarse = above(numbers([g[0] for g in groups])) - 1
+    inner = F.get(F.array(*[numbers(g) for g in groups]), coarse)
+    return let(coarse, lambda c: c * step + above(inner) - 1)
 
-def edited_pairs(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, next_key, text, n_chars, edited): a text whose second half is replaced by the start of the next one.
 
-    The last floor(n/2) characters make way for the first as many of the next document in
-    descending key order, or all it has. Null texts are empty. Rows of equal key are taken as one
-    document with the smallest of their texts as what others borrow; each of them borrows from
-    the next different key. Null keys come last. One document is its own successor.
+def in_order(docs: DataFrame, key: str, text: str, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, WindowSpec]:
+    """(key, text, block, guest) and the window in which the next row is the next document.
 
-    A text crosses the network once, to its key; what moves to the next document is only the
-    part that it needs.
+    Order is by descending key, null keys last, rows of one key by a hash of their text. A block
+    also holds the first rows of the block after it as guests, and the last block those of the
+    first, so every row finds its successor in its own block and a text crosses the network once.
     """
     rows = docs.select(docs[key].alias("key"), whole(docs[text]).alias("text"))
-    sized = rows.groupBy("key").agg(F.max(F.length("text")).alias("most"))
-    chain = successors(sized, "key").select(
-        F.col("next_key").alias("lender"), F.col("key").alias("borrower"), F.floor(F.col("most") / 2).cast("int").alias("need")
-    )
-    lent = rows.join(chain, rows["key"].eqNullSafe(F.col("lender"))).select(
-        "borrower", "lender", F.expr("substring(text, 1, need)").alias("part")
+    starts = _block_starts(rows, "key", block_rows)
+    own = held(rows, block=_block(F.col("key"), starts).cast("int"))
+    first = F.col("key").isin(starts) if len(starts) <= 2 else F.array_contains(
+        F.array(*[F.lit(s) for s in starts]), F.col("key")
     )
-    lent = lent.groupBy("borrower").agg(F.min("part").alias("part"), F.first("lender").alias("next_key"))
-    n = F.length("text")
-    joined = rows.join(lent, rows["key"].eqNullSafe(F.col("borrower")), "left")
+    before = F.pmod(F.col("block") - 1, F.lit(max(1, len(starts))))
+    seats = F.when(
+        first, F.array(F.struct(F.col("block").alias("block"), F.lit(False).alias("guest")),
+                       F.struct(before.alias("block"), F.lit(True).alias("guest")))
+    ).otherwise(F.array(F.struct(F.col("block").alias("block"), F.lit(False).alias("guest"))))
+    seated = own.select("key", "text", F.inline(seats))
+    order = Window.partitionBy("block").orderBy("guest", F.desc_nulls_last("key"), F.xxhash64("text"))
+    return seated, order
+
+
+def edited_pairs(docs: DataFrame, key: str, text: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(key, n_chars, own, edited, next): sketches' inputs side by side.
+
+    ``own`` is the text's sketch, ``next`` that of the following document in descending key order
+    (after the last, the first), ``edited`` the text whose last floor(n/2) characters are replaced
+    by the first as many of the following one, or all it has. Null texts are empty. Null keys come
+    last; rows of one key follow each other by a hash of their text. A single document follows
+    itself. Where all keys are null nothing follows the last. Keys must be numbers or dates; other
+    columns are not used; an empty table gives no rows.
+    """
+    seated, order = in_order(docs, key, text, block_rows)
+    sketched = held(seated, own=sketch(F.col("text")))
+    paired = sketched.select(
+        "key", "text", "own", "guest",
+        F.lead("text").over(order).alias("next_text"), F.lead("own").over(order).alias("next"),
+    ).where("NOT guest")
+    half = "cast(floor(length(text) / 2) as int)"
     edited = F.concat(
-        F.expr("substring(text, 1, length(text) - cast(floor(length(text) / 2) as int))"),
-        F.coalesce(F.expr("substring(part, 1, cast(floor(length(text) / 2) as int))"), F.lit("")),
+        F.expr(f"substring(text, 1, length(text) - {half})"),
+        F.coalesce(F.expr(f"substring(next_text, 1, {half})"), F.lit("")),
+    )
+    none = F.array().cast("array<string>")
+    return paired.select(
+        "key", F.length("text").cast("long").alias("n_chars"), "own", edited.alias("edited"),
+        F.coalesce("next", none).alias("next"),
     )
-    return joined.select("key", "next_key", "text", n.cast("long").alias("n_chars"), edited.alias("edited"))

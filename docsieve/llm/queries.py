@@ -281,23 +281,15 @@ SELECT page_id, payload_bytes, payload_digest,
 
 def op10_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     pairs = fingerprints.edited_pairs(_table(spark, folder, "documents"), "doc_id", "text")
-    sketched = held(
-        pairs,
-        _own=fingerprints.sketch(F.col("text")),
-        _edited=fingerprints.sketch(F.col("edited")),
-        _sha=F.sha2("edited", 256),
-    ).select("key", "next_key", "n_chars", F.col("_sha").alias("edited_sha256"), "_own", "_edited")
-    sketched = written(sketched, "sketches")
-    following = sketched.select(F.col("key").alias("_k"), F.col("_own").alias("_next"))
-    following = following.groupBy("_k").agg(F.min("_next").alias("_next"))
-    joined = sketched.join(following, F.col("next_key").eqNullSafe(F.col("_k")), "left")
-    like = fingerprints.resemblance
-    text = fingerprints.as_text
-    return joined.select(
-        F.col("key").alias("doc_id"), "n_chars", "edited_sha256",
-        text(F.col("_own")).alias("fingerprint"), text(F.col("_edited")).alias("edited_fingerprint"),
-        like(F.col("_own"), F.col("_edited")).alias("near_edited"),
-        like(F.col("_own"), F.col("_next")).alias("near_next"),
+    sketched = held(pairs, edited=F.struct(
+        fingerprints.sketch(F.col("edited")).alias("sketch"), F.sha2("edited", 256).alias("sha")
+    ))
+    like, text = fingerprints.resemblance, fingerprints.as_text
+    return sketched.select(
+        F.col("key").alias("doc_id"), "n_chars", F.col("edited.sha").alias("edited_sha256"),
+        text(F.col("own")).alias("fingerprint"), text(F.col("edited.sketch")).alias("edited_fingerprint"),
+        like(F.col("own"), F.col("edited.sketch")).alias("near_edited"),
+        like(F.col("own"), F.col("next")).alias("near_next"),
     )
 
 
