@@ -9,10 +9,12 @@ flips one bit) bound the overlap from above, as each bit that differs is a shing
 alone. What is left is decided by intersecting the sorted arrays.
 
 Two rounds keep groups of near copies, who share most of their tiles, from being compared again
-and again. Round one takes a share of the tiles, pairs each node with the smallest of its tile and
-settles the groups that come out, each array sent once. Round two takes all tiles, drops those
-whose nodes are together already, and compares what is still apart. The second round alone makes
-the result exact; the first makes it cheap.
+and again. Round one takes some tiles of each node, pairs each node with the smallest of its tile
+and settles the groups that come out, each array sent once; then groups that still meet in a tile are
+tried with one promising pair of each two. Round two takes all tiles, drops those whose nodes are
+together already, and compares what is still apart. The second round alone makes the result
+exact; the first makes it cheap. Tiles of one node are dropped before both, behind a
+Bloom filter of bounded size, so that what is joined follows the copies, not the corpus.
 """
 
 from __future__ import annotations
@@ -29,8 +31,10 @@ from docsieve.llm.components import components
 from docsieve.llm.urls import bloom_words, possible
 
 COUNTERS = 1 << 19
-FIRST_SHARE = 8  # one tile in so many is used in round one
+FIRST_TILES = 6  # tiles of a node that round one uses, about
+PIVOT_TURNS = 2
 TILE_ROWS = 2000
+COARSE_WORDS = 8
 
 
 def shingle_set(text: Column, k: int) -> Column:
@@ -55,7 +59,7 @@ def needed_overlap(n: np.ndarray | int, m: np.ndarray | int, percent: int):
 
 def bits_of(n: int) -> int:
     """Bits of a bitmap: a power of two, twice the set size at least, so that sizes differ by bands."""
-    return max(256, 1 << (max(n, 1) - 1).bit_length() + 1)
+    return max(64 * COARSE_WORDS, 1 << (max(n, 1) - 1).bit_length() + 1)
 
 
 def bitmap(hashes: np.ndarray) -> np.ndarray:
@@ -74,6 +78,13 @@ def differing(one: np.ndarray, many: np.ndarray) -> np.ndarray:
     return np.bitwise_count(many ^ one).sum(axis=1)
 
 
+def coarse(bits: np.ndarray) -> np.ndarray:
+    """A bitmap folded to ``COARSE_WORDS`` words; parity stays, so its bound holds."""
+    while len(bits) > COARSE_WORDS:
+        bits = bits[: len(bits) // 2] ^ bits[len(bits) // 2 :]
+    return bits
+
+
 def _counters(sets: DataFrame, counters: int) -> np.ndarray:
     slots = sets.select(F.explode("arr").alias("h")).groupBy(F.pmod("h", F.lit(counters)).alias("slot"))
     table = slots.agg(F.count(F.lit(1)).alias("n")).toArrow()
@@ -83,7 +94,7 @@ def _counters(sets: DataFrame, counters: int) -> np.ndarray:
 
 
 def prefixes(sets: DataFrame, percent: int, counters: int) -> DataFrame:
-    """(key, text_hash, rep, node, n, bits, prefix) of every text with a word."""
+    """(key, text_hash, rep, node, n, bits, coarse, prefix) of every text with a word."""
     sets = sets.where("size(arr) > 0")
     shared = sets.sparkSession.sparkContext.broadcast(_counters(sets, counters))
     key_type = sets.schema["key"].dataType.simpleString()
@@ -94,10 +105,12 @@ def prefixes(sets: DataFrame, percent: int, counters: int) -> DataFrame:
             column = batch.column("arr")
             offsets = column.offsets.to_numpy()
             values = column.values.to_numpy(zero_copy_only=False)
-            n, bits, prefix = np.diff(offsets), [], []
+            n, bits, folded, prefix = np.diff(offsets), [], [], []
             for a, b in zip(offsets[:-1], offsets[1:]):
                 s = values[a:b]
-                bits.append(bitmap(s).tobytes())
+                full = bitmap(s)
+                bits.append(full.tobytes())
+                folded.append(coarse(full).tobytes())
                 most = (b - a) - -(-percent * (b - a) // 100) + 1
                 order = np.lexsort((s, counts[np.mod(s, counters)]))[:most]
                 prefix.append(s[order])
@@ -106,28 +119,38 @@ def prefixes(sets: DataFrame, percent: int, counters: int) -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("text_hash"), batch.column("rep"), batch.column("node"), pa.array(n, pa.int32()),
-                 pa.array(bits, pa.binary()), lists],
-                ["key", "text_hash", "rep", "node", "n", "bits", "prefix"],
+                 pa.array(bits, pa.binary()), pa.array(folded, pa.binary()), lists],
+                ["key", "text_hash", "rep", "node", "n", "bits", "coarse", "prefix"],
             )
 
     return sets.withColumn("node", F.xxhash64("arr")).mapInArrow(
-        reduce_, f"key {key_type}, text_hash long, rep string, node long, n int, bits binary, prefix array<long>"
+        reduce_, f"key {key_type}, text_hash long, rep string, node long, n int, bits binary, coarse binary, prefix array<long>"
     )
 
 
 def tiles(nodes: DataFrame, percent: int) -> DataFrame:
-    """(tile, node): a node is in the tiles of its prefix and its size band, and in those of the next
-    band where a set of that band can be similar to it."""
+    """(tile, band, node): a node is in the tiles of its prefix and its size band, and in those of
+    the next band where a set of that band can be similar to it."""
     band = F.floor(F.log2("n") + 1e-9).cast("int")
     reaches = F.col("n") * 100 >= percent * F.pow(F.lit(2.0), band + 1)
     bands = F.when(reaches, F.array(band, band + 1)).otherwise(F.array(band))
     met = nodes.select("node", bands.alias("bands"), F.explode("prefix").alias("token"))
     met = met.select("node", "token", F.explode("bands").alias("band"))
-    return met.select("node", F.xxhash64("token", "band").alias("tile"))
+    return met.select(F.xxhash64("token", "band").alias("tile"), "band", "node")
+
+
+def shared_tiles(nodes: DataFrame, percent: int) -> DataFrame:
+    """``tiles`` that hold two nodes or more."""
+    every = tiles(nodes, percent)
+    several = every.groupBy("tile").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
+    several = written(several.select("tile"), "several")
+    words_ = bloom_words(several.select(F.col("tile").alias("key")), several.count())
+    near = possible(every.withColumn("key", F.col("tile")), words_).drop("key")
+    return near.join(several, "tile", "left_semi")
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """``pairs(a, b)`` whose sizes and bitmaps allow a link."""
+    """``pairs(a, b)`` whose sizes and bitmaps allow a link, with ``room``: how far above the need they may reach."""
     side = lambda x: nodes.select(F.col("node").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}"))
     joined = pairs.join(side("a"), "a").join(side("b"), "b")
 
@@ -138,11 +161,47 @@ def _similar(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
                 differing(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)[None])[0]
                 for x, y in zip(batch.column("bitsa"), batch.column("bitsb"))
             ], dtype=np.int64)
-            ok = (na + nb - differ) // 2 >= needed_overlap(na, nb, percent)
-            ok &= np.minimum(na, nb) >= needed_overlap(na, nb, percent)
-            yield batch.select(["a", "b"]).filter(pa.array(ok))
+            na, nb = na.astype(np.int64), nb.astype(np.int64)
+            room = np.minimum((na + nb - differ) // 2, np.minimum(na, nb)) - needed_overlap(na, nb, percent)
+            rows = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(room)], ["a", "b", "room"])
+            yield rows.filter(pa.array(room >= 0))
+
+    return joined.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(keep, "a long, b long, room long")
+
+
+def _verified(docs: DataFrame, key: str, text: str, k: int, percent: int, nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` whose sets are similar enough, by their arrays."""
+    ends = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+    found = written(_arrays(docs, key, text, k, ends.join(nodes.select("node", "rep"), "node")), "pair_arrays")
+    side = lambda x: found.select(F.col("node").alias(x), F.col("arr").alias(f"arr{x}"))
+    shared = F.size(F.array_intersect("arra", "arrb"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").where(
+        shared * 100 >= percent * (F.size("arra") + F.size("arrb") - shared)
+    ).select("a", "b")
+
+
+def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
+    return members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
-    return joined.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(keep, "a long, b long")
+
+def _by_pivots(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a, b), for two groups that meet in a tile the most promising of each tile's pivot and the others.
+
+    The pivot is drawn by hash, another one each turn. One link joins two groups, so one pair of
+    each two groups is enough here.
+    """
+    labelled = _labelled(members, labels)
+    pivots = labelled.groupBy("tile").agg(
+        F.min_by(F.struct("node", "root"), F.xxhash64("node", F.lit(turn))).alias("p"),
+        F.min("root").alias("lo"), F.max("root").alias("hi"),
+    ).where("lo < hi").select("tile", F.col("p.node").alias("a"), F.col("p.root").alias("ra"))
+    met = labelled.join(pivots, "tile").where("root <> ra").select(
+        "a", F.col("node").alias("b"), F.least("root", "ra").alias("lo"), F.greatest("root", "ra").alias("hi")
+    ).distinct()
+    met = written(met, "pivot_pairs")
+    near = _similar(met.select("a", "b"), nodes, percent)
+    best = met.join(near, ["a", "b"]).groupBy("lo", "hi").agg(F.max_by(F.struct("a", "b"), "room").alias("p"))
+    return written(best.select("p.a", "p.b"), "best_pairs")
 
 
 def _arrays(docs: DataFrame, key: str, text: str, k: int, wanted: DataFrame) -> DataFrame:
@@ -211,9 +270,9 @@ def _settle(docs, key, text, k, percent, nodes: DataFrame, groups: DataFrame, ti
 
 def _apart(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int, tile_rows: int) -> DataFrame:
     """Pairs (a, b) of nodes that share a tile, are not together yet, and whose bitmaps allow a link."""
-    labelled = members.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    labelled = _labelled(members, labels)
     mixed = labelled.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo < hi")
-    met = written(labelled.join(mixed.select("tile"), "tile"), "mixed_tiles")
+    met = written(labelled.join(mixed.select("tile"), "tile", "left_semi"), "mixed_tiles")
     # The largest side of a tile is cut into parts; the rest meets each part, and its own parts pairwise.
     sides = met.groupBy("tile", "root").agg(F.count(F.lit(1)).alias("c"))
     whole_tiles = sides.groupBy(F.col("tile").alias("t")).agg(
@@ -226,7 +285,7 @@ def _apart(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int
     )
     own = F.pmod("node", F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others")))
     all_of = lambda n: F.sequence(F.lit(0).cast("long"), n - 1)
-    name = lambda kind, i, j: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"))
+    name = lambda kind, i, j: F.xxhash64("tile", F.lit(kind), i, j)
     sized = sized.withColumn("own", own)
     spots = F.when(
         F.col("is_main"), F.transform(all_of(F.col("others")), lambda i: name("m", i, F.col("own")))
@@ -235,37 +294,52 @@ def _apart(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int
         F.transform(F.filter(all_of(F.col("others")), lambda j: j != F.col("own")),
                     lambda j: name("o", F.least(j, F.col("own")), F.greatest(j, F.col("own")))),
     ))
-    spread = sized.select("tile", "node", "root", "is_main", F.explode(spots).alias("spot"))
-    spread = spread.join(nodes.select("node", "n", "bits"), "node")
-
-    def compare(table: pa.Table) -> pa.Table:
-        node, root, n = (table.column(c).to_numpy() for c in ("node", "root", "n"))
-        order = np.argsort(n, kind="stable")
-        node, root, n = node[order], root[order], n[order].astype(np.int64)
-        maps = [np.frombuffer(b.as_buffer(), np.uint64) for b in table.column("bits").take(pa.array(order))]
-        widths = np.array([len(m) for m in maps])
-        a, b = [], []
-        for width in np.unique(widths):
-            at = np.flatnonzero(widths == width)
-            stacked = np.stack([maps[i] for i in at])
-            values, counts = np.unique(root, return_counts=True)
-            main = values[np.argmax(counts)]
-            for i in np.flatnonzero(root != main):
-                # Two nodes beside the main side meet once, from the later one.
-                other = (root[at] != root[i]) & ((root[at] == main) | (at < i))
-                need = needed_overlap(n[at], n[i], percent)
-                other &= np.minimum(n[at], n[i]) >= need
-                j = at[other]
-                if len(j):
-                    ok = (n[j] + n[i] - differing(maps[i], stacked[other])) // 2 >= need[other]
-                    a += [int(node[i])] * int(ok.sum())
-                    b += node[j[ok]].tolist()
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    found = spread.select("tile", "spot", "node", "root", "n", "bits").groupBy("tile", "spot").applyInArrow(compare, "a long, b long")
+    spread = sized.select("node", "root", F.explode(spots).alias("spot"))
+    spread = spread.join(nodes.select("node", "n", "coarse"), "node")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_back = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if held_back is not None:
+                table = pa.concat_tables([held_back, table])
+            spot = table.column("spot").to_numpy()
+            cut_at = int(np.searchsorted(spot, spot[-1])) if len(spot) else 0
+            held_back = table.slice(cut_at)
+            if cut_at:
+                yield _pairs_of(table.slice(0, cut_at), percent)
+        if held_back is not None and held_back.num_rows:
+            yield _pairs_of(held_back, percent)
+
+    ordered = spread.select("spot", "node", "root", "n", "coarse").repartition("spot").sortWithinPartitions("spot")
+    found = ordered.mapInArrow(compare, "a long, b long")
     return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _pairs_of(table: pa.Table, percent: int) -> pa.RecordBatch:
+    """Pairs within the spots of sorted rows, neighbours first, then rows two apart, and so on."""
+    spot, node, root, n = (table.column(c).to_numpy() for c in ("spot", "node", "root", "n"))
+    n = n.astype(np.int64)
+    data = table.column("coarse").combine_chunks()
+    start = np.frombuffer(data.buffers()[1], np.int32)[data.offset]
+    bits = np.frombuffer(data.buffers()[2], np.uint64)[start // 8 : start // 8 + len(n) * COARSE_WORDS].reshape(len(n), -1)
+    a, b = [], []
+    i, lag = np.arange(len(n) - 1), 1
+    while len(i):
+        i = i[i + lag < len(n)]
+        i = i[spot[i] == spot[i + lag]]
+        j = i + lag
+        need = needed_overlap(n[i], n[j], percent)
+        ok = (root[i] != root[j]) & (np.minimum(n[i], n[j]) >= need)
+        x, y, need = i[ok], j[ok], need[ok]
+        ok = (n[x] + n[y] - np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1)) // 2 >= need
+        a.append(node[x[ok]])
+        b.append(node[y[ok]])
+        lag += 1
+    none = [np.empty(0, np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a or none)), pa.array(np.concatenate(b or none))], ["a", "b"])
+
+
 def near_groups(
     docs: DataFrame,
     key: str,
@@ -287,27 +361,30 @@ def near_groups(
     sets = _sets(docs, key, text, k)
     rows = written(prefixes(sets, percent, counters), "sets")
     nodes = rows.groupBy("node").agg(
-        F.min("rep").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")
+        F.min("rep").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits"),
+        F.first("coarse").alias("coarse"), F.first("prefix").alias("prefix"),
     )
     nodes = written(nodes, "nodes")
-    members = tiles(nodes, percent)
+    members = written(shared_tiles(nodes, percent), "tiles")
 
-    first = members.where(F.pmod("tile", F.lit(FIRST_SHARE)) == 0)
+    # A node has about (1 - percent / 100) * 2 ** band tiles.
+    stride = F.greatest(F.floor(F.pow(F.lit(2.0), "band") * (100 - percent) / (100 * FIRST_TILES)), F.lit(1))
+    first = members.where(F.pmod("tile", stride) == 0).select("tile", "node")
     least = first.groupBy("tile").agg(F.min("node").alias("a"), F.max("node").alias("hi")).where("a < hi").drop("hi")
     stars = first.join(least, "tile").where("node <> a").select("a", F.col("node").alias("b")).distinct()
-    groups = written(components(_similar(stars, nodes, percent)), "groups")
+    groups = written(components(_similar(stars, nodes, percent).select("a", "b")), "groups")
     links = written(_settle(docs, key, text, k, percent, nodes, groups, tile_rows), "links")
     labels = written(components(links), "labels")
-
-    open_pairs = written(_apart(members, labels, nodes, percent, tile_rows), "open_pairs")
-    ends = open_pairs.select(F.col("a").alias("node")).union(open_pairs.select("b")).distinct()
-    found = written(_arrays(docs, key, text, k, ends.join(nodes.select("node", "rep"), "node")), "open_arrays")
-    side = lambda x: found.select(F.col("node").alias(x), F.col("arr").alias(f"arr{x}"))
-    shared = F.size(F.array_intersect("arra", "arrb"))
-    more = open_pairs.join(side("a"), "a").join(side("b"), "b").where(
-        shared * 100 >= percent * (F.size("arra") + F.size("arrb") - shared)
-    ).select("a", "b")
-    roots = written(components(links.unionByName(more)), "roots")
+    members = members.select("tile", "node")
+    as_edges = lambda found: found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    for turn in range(PIVOT_TURNS):
+        tried = _verified(docs, key, text, k, percent, nodes, _by_pivots(members, labels, nodes, percent, turn))
+        labels = written(components(as_edges(labels).unionByName(tried)), "labels")
+
+    open_pairs = _apart(members, labels, nodes, percent, tile_rows)
+    open_pairs = written(_similar(open_pairs, nodes, percent).select("a", "b"), "open_pairs")
+    more = _verified(docs, key, text, k, percent, nodes, open_pairs)
+    roots = written(components(as_edges(labels).unionByName(more)), "roots")
 
     placed = rows.select("key", "text_hash", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = placed.groupBy(F.col("root").alias("_r")).agg(F.min("key").alias("component_id"))
