@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import gc
+import tempfile
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import docsieve
 from docsieve.functions.text import let
 from docsieve.session import scratch_path
 
@@ -54,8 +60,37 @@ def held(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select(*kept, F.inline(packed))
 
 
+_shipped: set[str] = set()
+
+
+def shipped(spark: SparkSession) -> None:
+    """Give this package to the executors' Python, once per application, as one archive of its sources."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    package = Path(docsieve.__file__).parent
+    archive = Path(tempfile.mkdtemp(prefix="docsieve-")) / "docsieve.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    _shipped.add(context.applicationId)
+
+
+def released(spark: SparkSession) -> None:
+    """Let go of the shuffle files of finished steps.
+
+    Spark removes a plan's shuffle files once the driver's garbage collector finds the plan unused.
+    A driver that has little to do collects rarely, and the files of all steps would pile up on the
+    executors' disks.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """The rows, written once as Parquet to the shared scratch folder and read back from it."""
+    released(df.sparkSession)
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -76,6 +111,6 @@ def group_offsets(counts: DataFrame, groups: list[str], block: str, n: str) -> D
 
 
 __all__ = [
-    "SPACE", "WORD", "group_offsets", "held", "let", "lower_ascii", "n_words", "shingle_hashes",
+    "SPACE", "WORD", "group_offsets", "held", "let", "lower_ascii", "n_words", "released", "shingle_hashes", "shipped",
     "spread_key", "whole", "words", "written",
 ]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docsieve.llm.common import whole, written
+from docsieve.llm.common import shipped, whole, written
 from docsieve.llm.urls import host
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -229,6 +229,7 @@ def main_text(pages: DataFrame, url: str, page: str, keep: list[str]) -> DataFra
     empty host. Repeated rows are extracted alike. A host's ties go to the higher score, then the
     greater path. Kept columns named ``text``, ``path``, ``host`` or ``html`` must be renamed first.
     """
+    shipped(pages.sparkSession)
     rows = pages.select(*keep, host(pages[url]).alias("host"), whole(pages[page]).alias("html"))
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

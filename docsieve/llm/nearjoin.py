@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsieve.llm.common import held, let, lower_ascii, shingle_hashes, whole, words, written
+from docsieve.llm.common import held, let, lower_ascii, shingle_hashes, shipped, whole, words, written
 from docsieve.llm.components import components
 from docsieve.llm.urls import bloom_words, possible
 
@@ -358,6 +358,7 @@ def near_groups(
     rows and rows of one key with different texts are rows of their own. Other columns are not
     used; an empty table gives no rows. Shingles are compared as 64-bit hashes.
     """
+    shipped(docs.sparkSession)
     sets = _sets(docs, key, text, k)
     rows = written(prefixes(sets, percent, counters), "sets")
     nodes = rows.groupBy("node").agg(

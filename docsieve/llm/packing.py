@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docsieve.llm.common import group_offsets, spread_key, whole, written
+from docsieve.llm.common import group_offsets, shipped, spread_key, whole, written
 
 CAPACITY = 1024
 END_ID = 2
@@ -52,6 +52,7 @@ def pieces(docs: DataFrame, key: str, text: str, tokenizer: str, capacity: int =
 
     All pieces but the first have ``capacity`` ids. ``tokenizer`` is a file that all executors have.
     """
+    shipped(docs.sparkSession)
     rows = docs.select(docs[key].alias("key"), whole(docs[text]).alias("text"))
     kind = pa.schema([pa.field("piece", pa.int32()), pa.field("start", pa.int64()),
                       pa.field("length", pa.int64()), pa.field("ids_crc32", pa.int64())])

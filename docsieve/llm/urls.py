@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from docsieve.llm.common import let, lower_ascii, whole
+from docsieve.llm.common import let, lower_ascii, shipped, whole
 
 MAX_BYTES = 16 << 20
 BITS_PER_KEY = 12
@@ -87,6 +87,7 @@ def bloom_words(keys: DataFrame, n: int, max_bytes: int = MAX_BYTES) -> np.ndarr
 
 def possible(keys: DataFrame, words: np.ndarray) -> DataFrame:
     """The rows of ``keys`` whose ``key`` passes the filter."""
+    shipped(keys.sparkSession)
     shared = keys.sparkSession.sparkContext.broadcast(words)
 
     @pandas_udf("boolean")

@@ -20,7 +20,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsieve.llm.common import whole, written
+from docsieve.llm.common import shipped, whole, written
 from docsieve.session import scratch_path
 
 CHUNK_BYTES = 1 << 20
@@ -93,6 +93,8 @@ def write(records: DataFrame, folder: str) -> DataFrame:
     ``folder`` may be on any store that Arrow can write to.
     """
 
+    shipped(records.sparkSession)
+
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
         system, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
@@ -194,6 +196,7 @@ def read(archives: DataFrame, chunk: int = CHUNK_BYTES, payload: bool = True) ->
 
     At most ``chunk`` bytes of a record are held at once.
     """
+    shipped(archives.sparkSession)
     kinds = [pa.string()] * 5 + [pa.int32(), pa.bool_(), pa.int64(), pa.string(), pa.binary()]
     names = [c.split()[0] for c in CHUNKS.split(", ")]
 
