@@ -67,37 +67,41 @@ def facets(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     return exploded.groupBy("field", "value").agg(F.count(F.lit(1)).alias("count"))
 
 
-def stats_and_facets(df: DataFrame, number: str, fields: Sequence[str]) -> DataFrame:
-    """(part, field, name, amount): statistics and facets of one match set in one pass.
+def stats_and_facets(
+    df: DataFrame, numbers: Sequence[str], fields: Sequence[str], limit: int | None = None
+) -> DataFrame:
+    """(part, field, name, amount): all statistics and facets of one match set in one pass.
 
-    A search that asks for no rows needs only these. Grouping sets give every facet and the
-    overall figures from a single scan of the matches.
+    A search that asks for no rows needs only these. A row becomes one line per number and facet
+    value, lists one per element, and the lines are combined map-side. ``limit`` keeps so many
+    values of each facet, by count, then value.
     """
-    sets = [[f] for f in fields] + [[]]
-    grouped = df.groupingSets(sets, *fields).agg(
-        F.grouping_id(*fields).alias("_set"),
-        F.count(F.lit(1)).alias("_rows"),
-        F.count(number).alias("count"),
-        F.avg(number).alias("mean"),
-    )
-    # grouping_id has one bit per field, set when the field is not part of the set.
-    everything = (1 << len(fields)) - 1
-    lines = F.when(
-        F.col("_set") == everything,
-        F.array(*[_line("stats", number, F.lit(s), F.col(s)) for s in ("count", "mean")]),
-    )
-    for i, name in enumerate(fields):
-        own = everything - (1 << (len(fields) - 1 - i))
-        one = F.array(_line("facet", name, F.col(name).cast("string"), F.col("_rows")))
-        lines = lines.when((F.col("_set") == own) & F.col(name).isNotNull(), one)
-    return grouped.select(F.inline(lines)).withColumn("amount", F.round("amount", 6))
 
+    def facet(name: str) -> Column:
+        value = F.col(name)
+        if not isinstance(df.schema[name].dataType, T.ArrayType):
+            value = F.array(value)
+        values = F.filter(F.array_distinct(value.cast("array<string>")), lambda v: v.isNotNull())
+        return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: line("facet", name, v, F.lit(None)))
+
+    def line(part: str, field: str, name: Column, value: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), F.lit(field).alias("field"), name.cast("string").alias("name"),
+                        value.cast("double").alias("value"))
 
-def _line(part: str, field: str, name: Column, amount: Column) -> Column:
-    return F.struct(
-        F.lit(part).alias("part"), F.lit(field).alias("field"), name.alias("name"),
-        amount.cast("double").alias("amount"),
+    lines = F.concat(F.array(*[line("stats", n, F.lit(None), F.col(n)) for n in numbers]), *[facet(f) for f in fields])
+    v = F.col("value")
+    grouped = df.select(F.inline(lines)).groupBy("part", "field", "name").agg(
+        F.count(F.lit(1)).alias("rows"), F.min(v).alias("min"), F.max(v).alias("max"), F.count(v).alias("count"),
+        F.count_if(v.isNull()).alias("missing"), F.sum(v).alias("sum"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("stddev"),
     )
+    if limit is not None:
+        order = Window.partitionBy("part", "field").orderBy(F.desc("rows"), "name")
+        grouped = grouped.withColumn("_place", F.row_number().over(order)).where((F.col("part") == "stats") | (F.col("_place") <= limit))
+    amounts = F.when(
+        F.col("part") == "stats",
+        F.array(*[F.struct(F.lit(s).alias("name"), F.col(s).cast("double").alias("amount")) for s in STATS]),
+    ).otherwise(F.array(F.struct(F.col("name"), F.col("rows").cast("double").alias("amount"))))
+    return grouped.select("part", "field", F.inline(amounts)).withColumn("amount", F.round("amount", 6))
 
 
 def term_counts(df: DataFrame, terms: Column | str) -> DataFrame:
@@ -186,5 +190,16 @@ def expanded_terms(df: DataFrame, term_array: Column | str, prefix: str, limit:
 
 
 def distinct_values(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Exact distinct counts per field, in two hash aggregations that combine map-side."""
-    return facets(df, fields).groupBy("field").agg(F.count(F.lit(1)).alias("distinct_values"))
+    """(field, non_null, distinct_values) of text fields, from one scan.
+
+    A value is shuffled as two 64-bit hashes, so long texts stay where they are; two values are
+    taken for one only if both hashes agree.
+    """
+
+    def line(name: str) -> Column:
+        hashes = [F.xxhash64(name).alias("h1"), F.xxhash64(F.lit(1), F.col(name)).alias("h2")]
+        return F.when(F.col(name).isNotNull(), F.struct(F.lit(name).alias("field"), *hashes))
+
+    lines = F.filter(F.array(*[line(f) for f in fields]), lambda x: x.isNotNull())
+    values = df.select(F.inline(lines)).groupBy("field", "h1", "h2").agg(F.count(F.lit(1)).alias("n"))
+    return values.groupBy("field").agg(F.sum("n").alias("non_null"), F.count(F.lit(1)).alias("distinct_values"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docsieve.functions.vectors import embed_text
+from docsieve.operators import keyword as K
 from docsieve.operators import vector as V
 
 
@@ -61,6 +62,29 @@ def blend(
     )
 
 
+def search(
+    df: DataFrame,
+    text: str,
+    key: str,
+    fields: Sequence[str] = (),
+    where: Column | None = None,
+    k: int = 10,
+    blend_factor: float = 0.5,
+    text_field: str = "text",
+    vector: str = "embedding",
+    embed: Callable[[Column], Column] = embed_text,
+) -> DataFrame:
+    """The k best rows for a text by words and by vector, with ``fields`` and the three scores.
+
+    Both sides see the same filter; the stored vectors are read, only the query is embedded.
+    """
+    keyword = K.search(df, text_field, text, key, k, where).select(key, "score")
+    near = V.knn(df, embed_query(df, text, embed), key, k, vector, where).select(key, "score")
+    hits = blend(keyword, near, key, k, blend_factor)
+    rows = V.attach(df.select(key, *[f for f in fields if f != key]), hits, key, k)
+    return rows.orderBy(F.desc("hybrid_score"), key)
+
+
 def compare(methods: dict[str, DataFrame], key: str) -> DataFrame:
     """Hit lists ``(key, score)`` side by side, ranked within their method."""
     out = None

@@ -114,13 +114,8 @@ def field_profile(df: DataFrame) -> DataFrame:
             for f in df.schema.fields
         ]
     )
-    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
-    filled = counts.unpivot([], df.columns, "field", "non_null")
-    return (
-        known.join(filled, "field")
-        .join(distinct_values(as_text, df.columns), "field", "left")
-        .withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
-    )
+    found = distinct_values(as_text, df.columns)
+    return known.join(found, "field", "left").fillna(0, ["non_null", "distinct_values"])
 
 
 def find_vector_field(df: DataFrame) -> str:

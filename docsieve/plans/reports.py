@@ -81,21 +81,23 @@ def facet_fields(t: Tables) -> DataFrame:
     f"""
     WITH {terms_sql()},
     m AS (SELECT * FROM documents WHERE lang = 'en' AND doc_id IN (
-            SELECT id FROM term WHERE term IN ('licensed', 'eron')))
-    SELECT 'stats' AS part, 'n_chars' AS field, 'count' AS name, count(n_chars)::DOUBLE AS amount FROM m
-    UNION ALL SELECT 'stats', 'n_chars', 'mean', round(avg(n_chars), 6) FROM m
+            SELECT id FROM term WHERE term IN ('licensed', 'eron'))),
+    v AS (SELECT 'n_chars' AS field, n_chars::DOUBLE AS v FROM m
+          UNION ALL SELECT 'odd', CASE WHEN doc_id % 2 = 1 THEN doc_id END FROM m),
+    s AS (SELECT field, unnest([
+            {{'name': 'min', 'amount': min(v)}}, {{'name': 'max', 'amount': max(v)}}, {{'name': 'count', 'amount': count(v)::DOUBLE}},
+            {{'name': 'missing', 'amount': (count(*) - count(v))::DOUBLE}}, {{'name': 'sum', 'amount': sum(v)}},
+            {{'name': 'mean', 'amount': avg(v)}}, {{'name': 'stddev', 'amount': stddev_samp(v)}}]) AS x FROM v GROUP BY field)
+    SELECT 'stats' AS part, field, x.name AS name, round(x.amount, 6) AS amount FROM s
     UNION ALL SELECT 'facet', 'source', source, count(*) FROM m GROUP BY source
-    UNION ALL SELECT 'facet', 'lang', lang, count(*) FROM m GROUP BY lang
+    UNION ALL SELECT 'facet', 'tags', t, count(*) FROM (SELECT unnest([lang, source]) AS t FROM m) GROUP BY t
     """,
 )
 def search_stats(t: Tables) -> DataFrame:
-    """Statistics and facets of one match set, without any of its rows.
-
-    Both reports are aggregates of the same grouping, so the texts are analysed once: matches
-    are first counted per facet value together with their sums.
-    """
+    """Statistics of two fields and facets of a plain and a list field over one match set."""
     matches = P.apply_filters(t.wide("documents"), ["lang:en", "text:(licensed eron)"], ["text"])
-    return A.stats_and_facets(matches, "n_chars", ["source", "lang"])
+    tagged = matches.withColumn("tags", F.array("lang", "source")).withColumn("odd", F.expr("CASE WHEN doc_id % 2 = 1 THEN doc_id END"))
+    return A.stats_and_facets(tagged, ["n_chars", "odd"], ["source", "tags"])
 
 
 DOC_TERMS = f"{terms_sql()}, tf AS (SELECT term, count(DISTINCT id) AS frequency FROM term GROUP BY term)"

@@ -394,6 +394,26 @@ def hybrid_search(t: Tables) -> DataFrame:
     return rounded(blended, "keyword_score", "vector_score", "hybrid_score")
 
 
+@query(
+    "hybrid_text",
+    f"""
+    WITH b AS (WITH {BM25} SELECT id, score FROM bm JOIN documents ON id = doc_id WHERE lang = 'en' ORDER BY bm.score DESC, id LIMIT 10),
+    v AS (WITH {SEMANTIC_SQL} SELECT doc_id AS id, score FROM sem WHERE lang = 'en' ORDER BY sem.score DESC, doc_id LIMIT 10),
+    kw AS (SELECT id, score / max(score) OVER () AS s FROM b),
+    ve AS (SELECT id, CASE WHEN max(score) OVER () > 0 THEN score / max(score) OVER () ELSE 0 END AS s FROM v),
+    hy AS (SELECT coalesce(kw.id, ve.id) AS id, coalesce(kw.s, 0) AS k, coalesce(ve.s, 0) AS v FROM kw FULL JOIN ve ON kw.id = ve.id)
+    SELECT doc_id, lang, source, round(k, 6) AS keyword_score, round(v, 6) AS vector_score,
+      round(k * (1 - 0.4) + v * 0.4, 6) AS hybrid_score
+    FROM hy JOIN documents ON id = doc_id ORDER BY k * (1 - 0.4) + v * 0.4 DESC, doc_id LIMIT 10
+    """,
+)
+def hybrid_text(t: Tables) -> DataFrame:
+    """One text for both sides, the same filter on both, fields on the hits."""
+    docs = t.wide("documents").withColumn("embedding", embed_text("text"))
+    hits = B.search(docs, ASK, "doc_id", ["lang", "source"], F.col("lang") == "en", k=10, blend_factor=0.4)
+    return rounded(hits, "keyword_score", "vector_score", "hybrid_score")
+
+
 @query(
     "hybrid_one_side",
     f"""
