@@ -19,17 +19,18 @@ def _piece_start(length: Column, piece: int) -> Column:
 
 
 def _stored_signatures(term: Column) -> Column:
-    """A stored word is cut into three even pieces (for words of three letters or more).
+    """What follows a stored word's first letter is cut into three even pieces (if it has three letters).
 
-    Two edits can touch two pieces at most, so at least one of them occurs unchanged, and
-    at most two places away, in any word within two edits (Li et al. 2011).
+    The first letters agree, so the edits are in the rest. Two edits can touch two pieces at most,
+    so at least one of them occurs unchanged, and at most two places away, in any word within two
+    edits (Li et al. 2011). Shorter words are few, as there are few of their length.
     """
-    length = F.length(term)
+    length = F.length(term) - MIN_PREFIX
     pieces = []
     for piece in range(_PIECES):
         start = _piece_start(length, piece)
         size = _piece_start(length, piece + 1) - start
-        pieces.append(_signature(term, length, piece, F.substring(term, start + 1, size)))
+        pieces.append(_signature(term, length, piece, F.substring(term, start + 1 + MIN_PREFIX, size)))
     return F.when(length >= _PIECES, F.array(*pieces)).otherwise(
         F.array(F.concat_ws(":", _prefix(term), F.lit("short")))
     )
@@ -41,7 +42,7 @@ def _query_signatures(term: Column) -> Column:
     With ``change`` the length difference, piece number i (from 0) only has to be looked for at
     shifts within i of its place from the left and within 2 - i from the right (Li et al. 2011).
     """
-    own = F.length(term)
+    own = F.length(term) - MIN_PREFIX
     out = [F.when(own < _PIECES + MAX_EDITS, F.concat_ws(":", _prefix(term), F.lit("short")))]
     for change in range(-MAX_EDITS, MAX_EDITS + 1):
         length = own - change
@@ -52,7 +53,7 @@ def _query_signatures(term: Column) -> Column:
             for shift in range(max(-left, change - right), min(left, change + right) + 1):
                 at = start + shift
                 fits = (length >= _PIECES) & (at >= 0) & (at + size <= own)
-                found = _signature(term, length, piece, F.substring(term, at + 1, size))
+                found = _signature(term, length, piece, F.substring(term, at + 1 + MIN_PREFIX, size))
                 out.append(F.when(fits, found))
     return F.array_distinct(F.filter(F.array(*out), lambda s: s.isNotNull()))
 

@@ -68,7 +68,7 @@ def keyword_scores(t: Tables) -> DataFrame:
 def keyword_search_postings(t: Tables) -> DataFrame:
     """The same ranking from a postings table that is built first."""
     path = t.scratch("postings")
-    I.build(t.wide("documents"), "doc_id", "text", path, buckets=16, salts=2)
+    I.build(t.wide("documents"), "doc_id", "text", path, buckets=16)
     return rounded(I.search(t.spark, path, WORDS, "doc_id"), "score")
 
 

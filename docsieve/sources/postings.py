@@ -12,14 +12,6 @@ from pyspark.sql import functions as F
 from docsieve.functions.text import _col, index_terms, let, query_terms
 from docsieve.operators.keyword import bm25_weight
 
-BUCKETS = 64
-SALTS = 4
-
-
-def bucket_of(term: Column | str, buckets: int = BUCKETS) -> Column:
-    return F.pmod(F.xxhash64(_col(term)), F.lit(buckets)).cast("int")
-
-
 def term_counts_in(terms: Column) -> Column:
     """Array of (term, tf, dl) of one bag of terms: sort it, then measure the runs.
 
@@ -55,54 +47,46 @@ def postings(df: DataFrame, key: str, text: Column | str) -> DataFrame:
     return df.select(F.col(key).alias("key"), F.inline(term_counts_in(index_terms(text))))
 
 
-def build(
-    df: DataFrame,
-    key: str,
-    text: Column | str,
-    path: str,
-    buckets: int = BUCKETS,
-    salts: int = SALTS,
-) -> None:
-    """Write ``path/postings`` (by term bucket, sorted by term) and ``path/corpus`` (one row).
+def bucket_of(term: Column | str, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(_col(term)), F.lit(buckets)).cast("int")
+
 
-    A bucket is split by a hash of the key, so a term that most texts hold is written by
-    several tasks into several files.
+def build(df: DataFrame, key: str, text: Column | str, path: str, buckets: int = 64) -> None:
+    """Write ``path/postings`` (folders by term bucket, files sorted by term) and ``path/corpus`` (one row).
+
+    Buckets are rebalanced by Spark: one that is large, be it through a single term that most texts
+    hold, is split into as many files as its size needs, small ones share a task. A search reads
+    the folders of its terms; ``buckets`` is how finely these are cut.
     """
     rows = postings(df, key, text).withColumn("bucket", bucket_of("term", buckets))
-    salt = F.pmod(F.xxhash64("key"), F.lit(salts))
-    (
-        rows.repartition("bucket", salt)
-        .sortWithinPartitions("bucket", "term")
-        .write.partitionBy("bucket")
-        .mode("overwrite")
-        .parquet(f"{path}/postings")
-    )
+    dealt = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "term")
+    dealt.write.partitionBy("bucket").mode("overwrite").parquet(f"{path}/postings")
     # The mean length comes from the counts just written, not from the texts again.
     written = df.sparkSession.read.parquet(f"{path}/postings")
     total = written.agg(F.sum("tf").cast("double")).scalar()
-    rows = df.agg(F.count(F.lit(1)).alias("n"))
-    corpus = rows.select("n", (total / F.col("n")).alias("avgdl"), F.lit(buckets).alias("buckets"))
+    corpus = df.agg(F.count(F.lit(1)).alias("n")).select(
+        "n", (total / F.col("n")).alias("avgdl"), F.lit(buckets).alias("buckets")
+    )
     corpus.write.mode("overwrite").parquet(f"{path}/corpus")
 
 
-def search(spark: SparkSession, path: str, query: str, key: str, rows: int = 10) -> DataFrame:
-    """BM25 over the postings: same scores and order as the scan-based search."""
+def search(
+    spark: SparkSession, path: str, query: str, key: str, rows: int = 10, keys: DataFrame | None = None
+) -> DataFrame:
+    """BM25 over the postings: same scores and order as the scan-based search.
+
+    ``keys``, one column, are the rows that may be found; they do not change the scores. A query
+    without terms finds nothing.
+    """
     terms = query_terms(spark, query)
+    stored = spark.read.parquet(f"{path}/postings")
     if not terms:
-        found = spark.read.parquet(f"{path}/postings").where(F.lit(False))
-        return found.select(F.col("key").alias(key), F.lit(0.0).alias("score"))
+        return stored.where(F.lit(False)).select(F.col("key").alias(key), F.lit(0.0).alias("score"))
     corpus = spark.read.parquet(f"{path}/corpus")
-    buckets = corpus.select("buckets").first()["buckets"]
-    wanted = [
-        r["b"]
-        for r in spark.createDataFrame([(t,) for t in terms], "t string")
-        .select(bucket_of("t", buckets).alias("b"))
-        .distinct()
-        .collect()
-    ]
-    found = spark.read.parquet(f"{path}/postings").where(
-        F.col("bucket").isin(wanted) & F.col("term").isin(terms)
-    )
+    buckets = corpus.first()["buckets"]
+    asked = spark.range(1).select(F.explode(F.array(*[F.lit(t) for t in terms])).alias("t"))
+    wanted = [r["b"] for r in asked.select(bucket_of("t", buckets).alias("b")).distinct().collect()]
+    found = stored.where(F.col("bucket").isin(wanted) & F.col("term").isin(terms))
     # One count per query term, read from the same few row groups.
     counts = found.agg(
         F.create_map(
@@ -114,6 +98,8 @@ def search(spark: SparkSession, path: str, query: str, key: str, rows: int = 10)
         ).alias("df")
     )
     stats = corpus.select(F.struct("n", "avgdl").alias("c")).scalar()
+    if keys is not None:
+        found = found.join(keys.toDF("key"), "key", "left_semi")
     scored = found.withColumn("_c", stats).withColumn("_df", counts.scalar())
     weight = bm25_weight(
         F.col("_c.n"), F.col("_df")[F.col("term")], F.col("tf"), F.col("dl"), F.col("_c.avgdl")
