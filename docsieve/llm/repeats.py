@@ -26,12 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docsieve.llm.common import held, whole, written
+from docsieve.llm.common import held, released, shipped, whole, written
 
 LENGTH = 50
 PERIOD = 256  # mean distance of phrase starts
-SEED = 16
-SPLIT_ROWS = 20_000  # above so many places, a sample's suffixes are compared by Spark instead of one task
+SEED = 24  # longer: fewer chance meetings, more samples (two of every LENGTH - SEED + 2 bytes)
+SPLIT_ROWS = 100_000  # above so many places (about 150 MB in a task), a sample is compared by Spark joins
 _AT_ONCE = 1 << 21
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)
@@ -199,59 +199,79 @@ def samples(rows: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFram
     return rows.select("d", "data").mapInArrow(cut, "s long, d long, place long")
 
 
-def shared(found: DataFrame) -> DataFrame:
-    """The samples that two documents or more have, by one sort and one pass."""
+def shared(found: DataFrame, split_rows: int) -> DataFrame:
+    """(d, place, hot) of samples that two documents or more have, by one sort and one pass.
+
+    A sample's rows wait until they are known to be shared, and up to ``split_rows`` of them until
+    it is known whether there are more, which makes them ``hot``.
+    """
+
+    def flagged(table: pa.Table | pa.RecordBatch, hot: bool) -> pa.RecordBatch:
+        columns = [table.column(c) for c in ("d", "place")]
+        columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), hot))], ["d", "place", "hot"])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Rows of the last sample that are still of one document; then only their sample, once shared.
-        waiting, done = None, None
+        waiting, hot = None, None  # rows of the last sample; the last sample, once it is hot
         for batch in batches:
-            s, d = (batch.column(c).to_numpy() for c in ("s", "d"))
-            if done is not None:
-                n = int(np.searchsorted(s, done, side="right"))
-                if n:
-                    yield batch.slice(0, n)
-                    if n == len(s):
-                        continue
-                    batch, s, d = batch.slice(n), s[n:], d[n:]
-                done = None
+            table = pa.Table.from_batches([batch])
             if waiting is not None:
-                batch = pa.Table.from_batches([*waiting, batch]).combine_chunks().to_batches()[0]
-                s, d = (batch.column(c).to_numpy() for c in ("s", "d"))
+                table = pa.concat_tables([waiting, table])
                 waiting = None
+            s = table.column("s").to_numpy()
+            if hot is not None and len(s):
+                n = int(np.searchsorted(s, hot, side="right"))
+                if n:
+                    yield flagged(table.slice(0, n), True)
+                    table, s = table.slice(n), s[n:]
+                if len(s):
+                    hot = None
             if not len(s):
                 continue
+            d = table.column("d").to_numpy()
             first = np.flatnonzero(np.append(True, s[1:] != s[:-1]))
-            several = np.minimum.reduceat(d, first) < np.maximum.reduceat(d, first)
             sizes = np.diff(np.append(first, len(s)))
-            keep_rows = np.repeat(several, sizes)
-            if several[-1]:
-                done = s[-1]
+            several = np.minimum.reduceat(d, first) < np.maximum.reduceat(d, first)
+            many = several & (sizes > split_rows)
+            last = int(first[-1])
+            if many[-1]:
+                hot = s[-1]
+                yield flagged(table.slice(last), True)
             else:
-                waiting = [batch.slice(int(first[-1]))]
-            if keep_rows.any():
-                yield batch.filter(pa.array(keep_rows))
-
-    return found.repartition("s").sortWithinPartitions("s").mapInArrow(keep, "s long, d long, place long")
-
-
-def contexts(rows: DataFrame, places: DataFrame, repeated: DataFrame, length: int, seed: int) -> DataFrame:
-    """(s, d, r, place, lo, hi, context, hot) for the shared samples that some first occurrence has.
+                waiting = table.slice(last)
+            # All samples but the last are complete.
+            for which, mark in ((several & ~many, False), (many, True)):
+                rows = np.flatnonzero(np.repeat(which[:-1], sizes[:-1]))
+                if len(rows):
+                    yield flagged(table.take(pa.array(rows)), mark)
+        if waiting is not None:
+            d = waiting.column("d").to_numpy()
+            if d.min() < d.max():
+                yield flagged(waiting, False)
+
+    return found.repartition("s").sortWithinPartitions("s").mapInArrow(keep, "d long, place long, hot boolean")
+
+
+def contexts(
+    full: DataFrame, text: str, places: DataFrame, repeated: DataFrame, length: int, seed: int, how: str = "left"
+) -> DataFrame:
+    """(s, d, r, place, lo, hi, context) for the shared samples that some first occurrence has.
 
     The context is the bytes around the sample that windows through it can reach; ``lo`` to ``hi``
     lie inside the document. Places all of whose windows lie in repeated phrases are left out.
     """
     reach = length - seed
-    by_doc = places.groupBy("d").agg(F.collect_list(F.struct("place", "hot")).alias("places"))
+    by_doc = places.groupBy("d").agg(F.collect_list("place").alias("places"))
     covered = repeated.groupBy("d").agg(F.collect_list(F.struct("r", "a", "b")).alias("covered"))
-    joined = rows.join(by_doc, "d").join(covered, "d", "left")
+    joined = full.join(by_doc, "d", how).join(covered, "d", "left")
+    data = F.encode(whole(F.col(text)), "UTF-8")
+    joined = joined.withColumn("data", data).withColumn("r", F.xxhash64("data"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
+            for i in np.flatnonzero(batch.column("places").is_valid().to_numpy(zero_copy_only=False)).tolist():
                 data = np.frombuffer(batch.column("data")[i].as_buffer(), dtype=np.uint8)
-                asked = batch.column("places")[i].values
-                place, hot = asked.field("place").to_numpy(), asked.field("hot").to_numpy(zero_copy_only=False)
+                place = batch.column("places")[i].values.to_numpy()
                 fits = place + seed <= len(data)
                 done = np.zeros(max(len(data) - length + 1, 0) + 1, dtype=np.int32)
                 if batch.column("covered")[i].is_valid:
@@ -263,7 +283,7 @@ def contexts(rows: DataFrame, places: DataFrame, repeated: DataFrame, length: in
                 still = np.concatenate([[0], np.cumsum(np.cumsum(done)[:-1] == 0)])
                 low, high = np.maximum(place - reach, 0), np.minimum(place + 1, len(still) - 1)
                 fits &= still[np.maximum(high, low).clip(max=len(still) - 1)] > still[low.clip(max=len(still) - 1)]
-                place, hot = place[fits], hot[fits]
+                place = place[fits]
                 if not len(place):
                     continue
                 at = place[:, None] + np.arange(-reach, length)
@@ -276,12 +296,13 @@ def contexts(rows: DataFrame, places: DataFrame, repeated: DataFrame, length: in
                 ids = [pa.array(np.full(n, batch.column(c)[i].as_py(), dtype=np.int64)) for c in ("d", "r")]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(sample), *ids, pa.array(place), pa.array(inside.argmax(axis=1).astype(np.int32)),
-                     pa.array((width - inside[:, ::-1].argmax(axis=1)).astype(np.int32)), packed, pa.array(hot)],
-                    ["s", "d", "r", "place", "lo", "hi", "context", "hot"],
+                     pa.array((width - inside[:, ::-1].argmax(axis=1)).astype(np.int32)), packed],
+                    ["s", "d", "r", "place", "lo", "hi", "context"],
                 )
 
-    kinds = "s long, d long, r long, place long, lo int, hi int, context binary, hot boolean"
-    return joined.select("d", "r", "data", "places", "covered").mapInArrow(cut, kinds)
+    kinds = "s long, d long, r long, place long, lo int, hi int, context binary"
+    # All columns go along: Spark would else cut the texts' other columns off and send them twice.
+    return joined.mapInArrow(cut, kinds)
 
 
 def _spans_of(batch: pa.Table, length: int, reach: int) -> pa.RecordBatch:
@@ -312,7 +333,7 @@ def _spans_of(batch: pa.Table, length: int, reach: int) -> pa.RecordBatch:
 
 
 def suffix_spans(found: DataFrame, length: int, seed: int) -> DataFrame:
-    """(d, r, a, b) from contexts: samples of few places in one task each, the others by Spark."""
+    """(d, r, a, b) from the contexts of samples of few places: a sample is in one task."""
     reach = length - seed
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -334,16 +355,20 @@ def suffix_spans(found: DataFrame, length: int, seed: int) -> DataFrame:
             yield _spans_of(held_back, length, reach)
 
     kinds = "d long, r long, a long, b long"
-    cold = found.where("NOT hot").drop("hot").repartition("s").sortWithinPartitions("s").mapInArrow(runs, kinds)
-    each = found.where("hot").select("d", "r", "place", "context", F.explode(F.expr(f"sequence(lo, hi - {length})")).alias("at"))
+    return found.repartition("s").sortWithinPartitions("s").mapInArrow(runs, kinds)
+
+
+def hot_spans(found: DataFrame, length: int, seed: int) -> DataFrame:
+    """The same for samples of many places, a row per suffix: combined before the shuffle, its join can be split."""
+    each = found.select("d", "r", "place", "context", F.explode(F.expr(f"sequence(lo, hi - {length})")).alias("at"))
+    suffix = F.substring("context", F.col("at") + 1, F.lit(length))
     each = each.select(
-        "d", "r", (F.col("place") - reach + F.col("at")).alias("a"),
-        F.xxhash64("at", F.substring("context", F.col("at") + 1, F.lit(length))).alias("w1"),
-        F.xxhash64(F.lit(1), "at", F.substring("context", F.col("at") + 1, F.lit(length))).alias("w2"),
+        "d", "r", (F.col("place") - (length - seed) + F.col("at")).alias("a"),
+        F.xxhash64("at", suffix).alias("w1"), F.xxhash64(F.lit(1), "at", suffix).alias("w2"),
     )
     least = each.groupBy(F.col("w1").alias("v1"), F.col("w2").alias("v2")).agg(F.min("d").alias("least"))
-    hot = each.join(least, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2"))).where("least < d")
-    return cold.unionByName(hot.select("d", "r", "a", (F.col("a") + length).alias("b")))
+    met = each.join(least, (F.col("w1") == F.col("v1")) & (F.col("w2") == F.col("v2"))).where("least < d")
+    return met.select("d", "r", "a", (F.col("a") + length).alias("b"))
 
 
 def without_repeats(
@@ -364,28 +389,30 @@ def without_repeats(
     are replaced where they exist. An empty table gives no rows. Strings are compared by 64 bits of
     hash beside their sample's, phrases by 128.
     """
+    shipped(docs.sparkSession)
     docs = docs.drop("kept", "spans")
-    largest = F.lit((1 << 63) - 1)
-    order: Column = F.coalesce(docs[key].cast("long"), largest)
+    names = docs.columns
+    order: Column = F.coalesce(docs[key].cast("long"), F.lit((1 << 63) - 1))
     rows = docs.select(order.alias("d"), F.encode(whole(docs[text]), "UTF-8").alias("data"))
     rows = rows.select("d", F.xxhash64("data").alias("r"), "data")
 
-    phrases = parse(rows, length, period)
+    phrases = written(parse(rows, length, period), "phrases")
     least = phrases.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.min("d").alias("least"))
     repeated = phrases.join(least, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).where("least < d")
     repeated = written(repeated.select("d", "r", "a", "b"), "repeated")
+    places = written(shared(samples(rows, length, seed), split_rows), "samples")
 
-    places = written(shared(samples(rows, length, seed)), "samples")
-    hot = places.groupBy(F.col("s").alias("_s")).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > split_rows)
-    places = places.join(hot.select("_s"), F.col("s") == F.col("_s"), "left").select(
-        "d", "place", F.col("_s").isNotNull().alias("hot")
-    )
-    found = contexts(rows, places, repeated, length, seed)
-    spans = suffix_spans(found, length, seed).unionByName(repeated)
-    by_doc = spans.groupBy("d").agg(F.collect_list(F.struct("r", "a", "b")).alias("found"))
-    names = docs.columns
+    # The same columns meet the places and, later, the spans, so that Spark sends the texts once.
     full = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], order.alias("d"))
-    data = F.encode(whole(F.col(f"c{names.index(text)}")), "UTF-8")
+    released(docs.sparkSession)
+    body = f"c{names.index(text)}"
+    cold, hot = places.where("NOT hot"), places.where("hot")
+    spans = suffix_spans(contexts(full, body, cold, repeated, length, seed), length, seed).unionByName(repeated)
+    if not hot.isEmpty():
+        found = written(contexts(full, body, hot, repeated, length, seed, "inner"), "hot_contexts")
+        spans = spans.unionByName(hot_spans(found, length, seed))
+    by_doc = spans.groupBy("d").agg(F.collect_list(F.struct("r", "a", "b")).alias("found"))
+    data = F.encode(whole(F.col(body)), "UTF-8")
     joined = full.join(by_doc, "d", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -413,6 +440,8 @@ def without_repeats(
             )
 
     kinds = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
+    # What the steps above have sent around is not needed by the rest.
+    released(docs.sparkSession)
     out = held(joined, data=data).withColumn("r", F.xxhash64("data")).mapInArrow(
         cut, f"{kinds}, kept binary, spans array<struct<a:long,b:long>>"
     )
