@@ -44,11 +44,16 @@ _FAMILIES = [
     ("bsd-2-clause", "bsd", "(?:simplified bsd|freebsd|bsd 2 clause|2 clause bsd|two clause bsd)", "bsd 2 clause"),
     ("bsd-3-clause", "bsd", "(?:new bsd|modified bsd|revised bsd|bsd 3 clause|3 clause bsd|three clause bsd)", "bsd 3 clause"),
     ("bsd-4-clause", "bsd", "(?:original bsd|bsd 4 clause|4 clause bsd)", "bsd 4 clause"),
-    ("gpl-2", "2", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?(?:2|v2)(?: 0)?", "gpl 2 0(?: only| or later)?"),
-    ("gpl-3", "3", "(?:gnu )?(?:gpl|general public license)(?: version| v)? ?(?:3|v3)(?: 0)?", "gpl 3 0(?: only| or later)?"),
-    ("lgpl-2.1", "1", "(?:gnu )?(?:lgpl|(?:lesser|library) general public license)(?: version| v)? ?(?:2|v2) 1", "lgpl 2 1(?: only| or later)?"),
-    ("lgpl-3", "3", "(?:gnu )?(?:lgpl|lesser general public license)(?: version| v)? ?(?:3|v3)(?: 0)?", "lgpl 3 0(?: only| or later)?"),
-    ("agpl-3", "3", "(?:gnu )?(?:agpl|affero general public license)(?: version| v)? ?(?:3|v3)(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    ("gpl-2", "gpl", "(?:gnu )?gpl(?: version| v)? ?(?:2|v2)(?: 0)?", "gpl 2 0(?: only| or later)?"),
+    ("gpl-2", "general", "(?:gnu )?general public license(?: version| v)? ?(?:2|v2)(?: 0)?", "gpl 2 0(?: only| or later)?"),
+    ("gpl-3", "gpl", "(?:gnu )?gpl(?: version| v)? ?(?:3|v3)(?: 0)?", "gpl 3 0(?: only| or later)?"),
+    ("gpl-3", "general", "(?:gnu )?general public license(?: version| v)? ?(?:3|v3)(?: 0)?", "gpl 3 0(?: only| or later)?"),
+    ("lgpl-2.1", "lgpl", "(?:gnu )?lgpl(?: version| v)? ?(?:2|v2) 1", "lgpl 2 1(?: only| or later)?"),
+    ("lgpl-2.1", "general", "(?:gnu )?(?:lesser|library) general public license(?: version| v)? ?(?:2|v2) 1", "lgpl 2 1(?: only| or later)?"),
+    ("lgpl-3", "lgpl", "(?:gnu )?lgpl(?: version| v)? ?(?:3|v3)(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    ("lgpl-3", "lesser", "(?:gnu )?lesser general public license(?: version| v)? ?(?:3|v3)(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    ("agpl-3", "agpl", "(?:gnu )?agpl(?: version| v)? ?(?:3|v3)(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    ("agpl-3", "affero", "(?:gnu )?affero general public license(?: version| v)? ?(?:3|v3)(?: 0)?", "agpl 3 0(?: only| or later)?"),
     ("gfdl", "free", "(?:gnu )?free documentation license(?: version 1 [0-9])?", "gfdl 1 [0-9](?: only| or later)?"),
     ("mpl-1.1", "mozilla", "mozilla public license(?: version| v)? 1 1", "mpl 1 1"),
     ("mpl-2", "mozilla", "mozilla public license(?: version| v)? 2(?: 0)?", "mpl 2 0"),
@@ -108,7 +113,7 @@ def all_rules() -> list[Rule]:
             Rule(label, 3, "spdx", f"spdx license identifier {ident}"),
             Rule(label, 2, keyword, f"{_GRANT}{name}(?: licen[cs]e)?"),
             Rule(label, 1, keyword, f"{name} licen[cs]e"),
-            Rule(label, 1, "licen[cs]e".replace("[cs]", "s"), f"license {ident}"),
+            Rule(label, 1, "license", f"license {ident}"),
         ]
     for kind, spoken in _CC.items():
         label, code = f"cc-{kind}", kind.replace("-", " ")
@@ -120,7 +125,7 @@ def all_rules() -> list[Rule]:
                 Rule(f"{label}-{version}", 3, "creativecommons", f"creativecommons org licenses {code} {version} 0"),
             ]
         rules += [Rule(label, 1, "cc", f"cc {code}"), Rule(label, 1, "commons", f"creative commons {spoken}")]
-    return rules
+    return list(dict.fromkeys(rules))
 
 
 RULES = all_rules()
@@ -128,7 +133,9 @@ RULES = all_rules()
 
 def regex(pattern: str) -> str:
     """The pattern over numbered words: every word has a blank on both sides of its own."""
-    return r" \d+:" + pattern.replace(" ?", "(?:  \\d+:)?").replace(" ", r"  \d+:").replace("(?:  \\d+:  \\d+:)?", r"(?:  \d+:)?") + " "
+    between = r"  \d+:"
+    parts = [part.replace(" ", between) for part in pattern.split(" ?")]
+    return r" \d+:" + f"(?:{between})?".join(parts) + " "
 
 
 def numbered(ws: Column) -> Column:
