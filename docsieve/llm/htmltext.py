@@ -42,7 +42,10 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
            "th": {"td", "th"}, "option": {"option"}}
 _SCOPES = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"table"}, "th": {"table"}, "option": {"select"}}
 _NAME = re.compile(r"[a-zA-Z][^\s/>]*")
-_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+# As the HTML tokenizer reads them: a quote opens a value only right after "=", elsewhere it belongs to a name.
+_ATTRIBUTE = re.compile(r"""([^\s/>][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]*)))?""")
+# Attributes up to the tag's end. Nothing is read twice but a quote that never closes; that one opens nothing.
+_ATTRIBUTES = re.compile(r"""(?:[\s/]++|[^\s/>][^\s/>=]*+\s*+(?:=\s*+(?:"[^"]*+"|'[^']*+'|[^\s>"'][^\s>]*+)?+)?+)*+""")
 _MAY_HIDE = re.compile("class|id|hidden|role|style", re.I)
 _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
@@ -82,14 +85,8 @@ def _tags(page: str) -> Iterator[tuple[str, str, str]]:
         if start > at:
             yield "text", page[at:start], ""
         tag = name.group().lower()
-        close = page.find(">", name.end())
-        # A ">" inside quotes does not end the tag.
-        while close >= 0 and page.count('"', name.end(), close) % 2:
-            quote = page.find('"', close)
-            if quote < 0:
-                break
-            close = page.find(">", quote)
-        if close < 0:
+        close = _ATTRIBUTES.match(page, name.end()).end()
+        if close == end:
             return
         at = close + 1
         if closing:

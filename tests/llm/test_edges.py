@@ -322,6 +322,20 @@ def test_consensus_beats_a_page_of_its_own():
     assert htmltext.extract(odd, "/body/div.story") == "short text"
 
 
+@pytest.mark.parametrize("tag", [
+    """<p title='5" disk'>""", """<p class="x"">""", """<p title='a > b'>""", """<p title="it's > that">""", '<p title=5">', "<p it's>",
+    """<p a = 'x"' b="'>"/>""", '<p a=">" ">', "<p a= >",
+])
+def test_quotes_in_a_tag_lose_no_text(tag):
+    page = f'<body><div class="story"><p>before</p>{tag}inside</p><p class="z">after</p><p id="q">end</p></div></body>'
+    assert htmltext.extract(page) == "before\n\ninside\n\nafter\n\nend"
+    assert htmltext.extract(page.replace("</p><p class", "</p x='>'><p class")) == "before\n\ninside\n\nafter\n\nend"
+
+
+def test_a_quote_without_end_opens_nothing():
+    assert htmltext.extract("<div><p>a</p><p title='b>c</p><p>d</p></div>") == "a\n\nc\n\nd"
+
+
 @pytest.mark.parametrize("block_rows", [2000, 3])
 def test_fingerprints(spark, block_rows):
     rows = [(k, t) for k, t in TEXTS if k not in (3, None)] + [(None, "last words here")]
