@@ -34,7 +34,16 @@ _CLASSES = frozenset(
     "respond share sharing social related breadcrumb breadcrumbs newsletter subscribe popup modal overlay widget "
     "toolbar pagination pager masthead topbar copyright hidden".split()
 )
+# Words that may stand beside those in a compound name such as site-header or sidebar-1. Others, as in has-sidebar or
+# content-with-menu, speak of a layout.
+_BESIDE = frozenset(
+    "site page main top bottom left right global primary secondary mobile desktop box bar block list item items area "
+    "section container wrap wrapper inner link links button buttons icons panel group form title posts".split()
+)
+_OF_ARTICLE = frozenset("article entry post".split())
 _NO_ARTICLE = frozenset("comment comments ad ads advert teaser related".split())
+# What stands beside an article, however long it is.
+_BESIDES_ARTICLE = _NO_ARTICLE | frozenset("disqus replies respond".split())
 _CONTAINERS = frozenset("div section article main td center span dd".split())
 _GOOD = frozenset("article content post entry story main body text".split())
 # Elements that the start of another one ends.
@@ -51,10 +60,15 @@ _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 
 
 class _Node:
-    __slots__ = ("tag", "path", "dropped", "size", "bonus")
+    """An element. ``hidden``: its text is left out in any case; ``named``: by its name, unless the article is inside
+    (1), or only where no article is outside either (2). ``full`` and ``told`` are the lengths of the text that is not
+    hidden, all of it and that in articles; ``size`` is that of the text kept."""
+
+    __slots__ = ("tag", "path", "parent", "hidden", "named", "dropped", "full", "told", "size", "bonus")
 
-    def __init__(self, tag: str, path: str, dropped: bool, bonus: float):
-        self.tag, self.path, self.dropped, self.size, self.bonus = tag, path, dropped, 0, bonus
+    def __init__(self, tag: str, path: str, parent: _Node | None, hidden: bool, named: int, bonus: float):
+        self.tag, self.path, self.parent, self.hidden, self.named, self.bonus = tag, path, parent, hidden, named, bonus
+        self.dropped, self.full, self.told, self.size = hidden, 0, 0, 0
 
 
 def _tags(page: str) -> Iterator[tuple[str, str, str]]:
@@ -104,16 +118,32 @@ def _tags(page: str) -> Iterator[tuple[str, str, str]]:
             yield "end", tag, ""
 
 
+def _left_out(token: str) -> set[str]:
+    """The words for which a class or id as a whole names something beside the text; none if it does not."""
+    parts = {w.lower() for w in _SPLIT.split(token) if w}
+    if "hidden" in parts:
+        return parts if token.lower() in ("hidden", "is-hidden", "visually-hidden") else set()
+    beside = _BESIDE if "header" in parts else _BESIDE | _OF_ARTICLE
+    return parts & _CLASSES if parts <= _CLASSES | beside else set()
+
+
 @lru_cache(maxsize=8192)
-def _shape(tag: str, attributes: str) -> tuple[str, bool, bool, float]:
-    """(name, always left out, left out outside an article, bonus) of a start tag.
+def _shape(tag: str, attributes: str) -> tuple[str, bool, int, bool, float]:
+    """(name, always left out, left out by name, left out outside an article, bonus) of a start tag.
 
     The name is the tag with its classes, numbers made alike.
     """
     found = {}
     for m in _ATTRIBUTE.finditer(attributes):
         found.setdefault(m[1].lower(), html.unescape(m[2] or m[3] or m[4] or ""))
-    words = {w.lower() for w in _SPLIT.split(f"{found.get('class', '')} {found.get('id', '')}") if w}
+    tokens = f"{found.get('class', '')} {found.get('id', '')}".split()
+    words = {w.lower() for t in tokens for w in _SPLIT.split(t) if w}
+    beside = set().union(*map(_left_out, tokens))
+    if tag == "article":
+        # Names of an article's own kind, as teaser, are no words of other elements.
+        beside = (beside | {t.lower() for t in tokens}) & _NO_ARTICLE
+    elif tag in ("html", "body", "main"):
+        beside = set()
     role = found.get("role", "").lower()
     dropped = (
         tag in _DROPPED
@@ -122,26 +152,44 @@ def _shape(tag: str, attributes: str) -> tuple[str, bool, bool, float]:
         or found.get("aria-hidden", "").lower() == "true"
         or role in _ROLES
         or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) is not None
-        or (tag not in ("html", "body", "main", "article") and bool(words & _CLASSES))
-        or (tag == "article" and bool(words & _NO_ARTICLE))
     )
+    named = 2 if beside & _BESIDES_ARTICLE else 1 if beside else 0
     bonus = 1.5 if tag in ("article", "main") or role in ("main", "article") else 1.3 if words & _GOOD else 1.0
     if tag in ("body", "html"):
         bonus = 0.6
     name = tag + "".join(f".{re.sub('[0-9]+', '0', c)}" for c in sorted(found.get("class", "").split()))
-    return name, dropped, tag == "header", bonus
+    return name, dropped, named, tag == "header", bonus
 
 
 def _node(tag: str, attributes: str, parent: _Node, in_article: bool) -> _Node:
     """The element with its generalised path, and whether its text is left out."""
-    name, dropped, outside, bonus = _shape(tag, attributes)
-    return _Node(tag, f"{parent.path}/{name}", parent.dropped or dropped or (outside and not in_article), bonus)
+    name, dropped, named, outside, bonus = _shape(tag, attributes)
+    return _Node(tag, f"{parent.path}/{name}", parent, parent.hidden or dropped or (outside and not in_article), named, bonus)
+
+
+def _settle(elements: list[_Node], root: _Node) -> None:
+    """Decide which elements with a name of something beside the text are left out, with all inside them.
+
+    One stays that holds the page's largest article or main, or most of the page's text. Comments,
+    advertisements and the like stay only where no article has text outside them as well.
+    """
+    holders = set()
+    for tag in ("article", "main"):
+        node = max((n for n in elements if n.tag == tag and not n.named and n.full), key=lambda n: n.full, default=None)
+        while node is not None and node not in holders:
+            holders.add(node)
+            node = node.parent
+    for node in elements:
+        if node.named:
+            stays = node in holders or 2 * node.full > root.full
+            node.dropped |= not stays or (node.named == 2 and root.told > node.told)
+        node.dropped |= node.parent.dropped
 
 
 def blocks(page: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
     """The page's kept blocks with the containers around each, and all containers."""
-    root = _Node("", "", False, 0.0)
-    stack, nodes, out, text = [root], [], [], []
+    root = _Node("", "", None, False, 0, 0.0)
+    stack, elements, out, text = [root], [], [], []
 
     def flush():
         if text:
@@ -149,20 +197,21 @@ def blocks(page: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
             text.clear()
             if joined:
                 for node in stack:
-                    node.size += len(joined)
+                    node.full += len(joined)
+                    node.told += len(joined) if articles else 0
                 out.append((joined, stack[1:]))
 
     inline_dropped: list[str] = []  # open inline elements whose text is left out, and those inside them
     articles = 0
     for kind, value, attributes in _tags(page):
         if kind == "text":
-            if not stack[-1].dropped and not inline_dropped:
+            if not stack[-1].hidden and not inline_dropped:
                 text.append(html.unescape(value))
             continue
         if value in _INLINE:
             if value == "br" or value == "img":
                 text.append(" ")
-            elif kind == "start" and (inline_dropped or (attributes and _MAY_HIDE.search(attributes) and _shape(value, attributes)[1])):
+            elif kind == "start" and (inline_dropped or (attributes and _MAY_HIDE.search(attributes) and any(_shape(value, attributes)[1:3]))):
                 inline_dropped.append(value)
             elif kind == "end" and value in inline_dropped:
                 while inline_dropped.pop() != value:
@@ -188,8 +237,7 @@ def blocks(page: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
             node = _node(value, attributes, stack[-1], articles > 0)
             articles += value in ("article", "main")
             stack.append(node)
-            if not node.dropped and (value in _CONTAINERS or value == "body"):
-                nodes.append(node)
+            elements.append(node)
         else:
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag == value:
@@ -197,7 +245,12 @@ def blocks(page: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
                     del stack[i:]
                     break
     flush()
-    return out, nodes
+    _settle(elements, root)
+    out = [(block, above) for block, above in out if not above or not above[-1].dropped]
+    for block, above in out:
+        for node in above:
+            node.size += len(block)
+    return out, [n for n in elements if not n.dropped and (n.tag in _CONTAINERS or n.tag == "body")]
 
 
 def best_path(nodes: list[_Node]) -> tuple[str, float]:

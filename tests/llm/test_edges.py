@@ -336,6 +336,40 @@ def test_a_quote_without_end_opens_nothing():
     assert htmltext.extract("<div><p>a</p><p title='b>c</p><p>d</p></div>") == "a\n\nc\n\nd"
 
 
+ARTICLE = "<p>" + "the story goes on " * 9 + "</p><p>and ends</p>"
+STORY = ("the story goes on " * 9).strip() + "\n\nand ends"
+
+
+@pytest.mark.parametrize("name", [
+    'class="overflow-hidden"', 'class="has-sidebar"', 'class="no-comments"', 'id="content-with-menu"', 'class="page-header-fixed"',
+    'class="md:hidden"', 'class="sidebar-left"', 'class="hidden"', 'class="menu"', 'id="comments"',
+])
+@pytest.mark.parametrize("inner", ["article", "main", "div"])
+def test_a_wrapper_of_the_article_is_no_side_matter(name, inner):
+    """Neither by a part of its name, nor by its name where it holds the article or most of the text."""
+    page = f'<body><nav>n</nav><div {name}><{inner} class="x">{ARTICLE}</{inner}></div><p>bye</p></body>'
+    assert htmltext.extract(page).startswith(STORY)
+    assert any(p.size for p in htmltext.blocks(page)[1] if p.tag == inner and p.path.endswith(".x"))
+
+
+@pytest.mark.parametrize("name", [
+    'class="sidebar"', 'class="site-header"', 'id="cookie-notice"', 'class="main-menu"', 'id="sidebar-1"', 'class="entry-footer"',
+    'class="visually-hidden"', 'class="siteFooter"', 'class="comments-area"', 'class="related-posts"',
+])
+def test_side_matter_goes(name):
+    page = f'<body><div class="x">{ARTICLE}<div {name}><p>side matter</p></div></div></body>'
+    assert htmltext.extract(page) == STORY
+
+
+def test_long_comments_and_cards_are_no_article():
+    talk = '<div class="comments"><article>' + "<p>I say so too</p>" * 99 + "</article></div>"
+    cards = '<div class="widget"><article>a card</article><article>a card</article></div>'
+    assert htmltext.extract(f"<body><article>{ARTICLE}</article>{talk}</body>") == STORY
+    assert htmltext.extract(f"<body><article>{ARTICLE}{talk}</article></body>") == STORY
+    assert htmltext.extract(f"<body><main><article>{ARTICLE}</article>{cards}</main></body>") == STORY
+    assert htmltext.extract(f'<body><div class="has-sidebar"><div class="x">{ARTICLE}</div>{cards[:19]}side</div></div></body>') == STORY
+
+
 @pytest.mark.parametrize("block_rows", [2000, 3])
 def test_fingerprints(spark, block_rows):
     rows = [(k, t) for k, t in TEXTS if k not in (3, None)] + [(None, "last words here")]
