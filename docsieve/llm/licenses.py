@@ -1,7 +1,7 @@
 """License scan by ordered signature rules.
 
-A rule is a regular expression over the text's words, with a keyword that must be present before
-the expression is tried, and a tier. Where detections overlap, one that lies inside another of
+A rule is a regular expression over the text's words, with pieces of text of which one is in every
+match and must be present before the expression is tried, and a tier. Where detections overlap, one that lies inside another of
 the same or a higher tier is dropped; of two on the same words the earlier rule stays.
 
 For matching, a text is written as its words with their numbers, `` 0:under  1:the ``, so that a
@@ -15,7 +15,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docsieve.llm.common import held, lower_ascii, whole, written
+from docsieve.llm.common import held, let, lower_ascii, whole, written
 
 LICENSE_WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -27,6 +27,8 @@ class Rule(NamedTuple):
     tier: int
     keyword: str
     pattern: str
+    # Pieces of the numbered text of which every match holds one; by default the keyword as a whole word.
+    gates: tuple[str, ...] = ()
 
 
 # Fixed by the contract of the scan.
@@ -83,6 +85,9 @@ _FAMILIES = [
     ("ms-rl", "microsoft", "microsoft reciprocal license", "ms rl"),
 ]
 
+# Names that a version may be joined to, as in gplv2, and a name with its keyword inside a longer word.
+_GATES = {k: (f":{k}",) for k in ("apache", "gpl", "lgpl", "agpl")} | {"bsd": (":bsd ", ":freebsd ")}
+
 # Creative Commons: the four attribution forms in four versions, built by rule.
 _CC = {"by": "attribution", "by-sa": "attribution share ?alike", "by-nc": "attribution non ?commercial",
        "by-nd": "attribution no ?deriv(?:atives|s)"}
@@ -92,6 +97,7 @@ _NOTICES = [
     Rule("apache-2", 3, "apache", "www apache org licenses license 2 0"),
     Rule("bsd-3-clause", 3, "redistribution", "redistribution and use in source and binary forms with or without modification are permitted"),
     Rule("isc", 3, "permission", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    # This sentence names no license: its keyword is a condition of its own, not a piece of the match.
     Rule("gpl-2", 3, "gnu", "either version 2 of the license or at your option any later version"),
     Rule("gpl-3", 3, "gnu", "either version 3 of the license or at your option any later version"),
     Rule("mpl-2", 3, "mozilla", "mozilla org mpl 2 0"),
@@ -111,8 +117,8 @@ def all_rules() -> list[Rule]:
     for label, keyword, name, ident in _FAMILIES:
         rules += [
             Rule(label, 3, "spdx", f"spdx license identifier {ident}"),
-            Rule(label, 2, keyword, f"{_GRANT}{name}(?: licen[cs]e)?"),
-            Rule(label, 1, keyword, f"{name} licen[cs]e"),
+            Rule(label, 2, keyword, f"{_GRANT}{name}(?: licen[cs]e)?", _GATES.get(keyword, ())),
+            Rule(label, 1, keyword, f"{name} licen[cs]e", _GATES.get(keyword, ())),
             Rule(label, 1, "license", f"license {ident}"),
         ]
     for kind, spoken in _CC.items():
@@ -142,12 +148,20 @@ def numbered(ws: Column) -> Column:
     return F.array_join(F.transform(ws, lambda w, i: F.concat(F.lit(" "), i.cast("string"), F.lit(":"), w, F.lit(" "))), "")
 
 
+def gates(rule: Rule) -> tuple[str, ...]:
+    """Pieces of which a text must hold one. All matches do, but for the notices of ``gnu``, where it is asked for besides."""
+    return rule.gates or (f":{rule.keyword} ",)
+
+
 def _found(text: Column, rules: list[Rule]) -> Column:
     """(start, length, rule) of every match in the numbered text."""
     table = F.array(*[
-        F.struct(F.lit(i).alias("rule"), F.lit(f":{r.keyword} ").alias("gate"), F.lit(regex(r.pattern)).alias("rx"))
+        F.struct(
+            F.lit(i).alias("rule"), F.array(*[F.lit(g) for g in gates(r)]).alias("gates"), F.lit(regex(r.pattern)).alias("rx")
+        )
         for i, r in enumerate(rules)
     ])
+    pieces = F.array(*[F.lit(g) for g in sorted({g for r in rules for g in gates(r)})])
     of_rule = lambda r: F.transform(
         F.regexp_extract_all(text, r["rx"], F.lit(0)),
         lambda m: F.struct(
@@ -156,7 +170,10 @@ def _found(text: Column, rules: list[Rule]) -> Column:
             r["rule"].alias("rule"),
         ),
     )
-    return F.flatten(F.transform(F.filter(table, lambda r: F.contains(text, r["gate"])), of_rule))
+    return let(
+        F.filter(pieces, lambda g: F.contains(text, g)),
+        lambda there: F.flatten(F.transform(F.filter(table, lambda r: F.arrays_overlap(r["gates"], there)), of_rule)),
+    )
 
 
 def detections(docs: DataFrame, key: str, text: str, rules: list[Rule] = RULES) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import public_tokenizers
@@ -157,6 +158,51 @@ def test_licenses(spark):
     assert licenses.scan(empty(spark), "doc_id", "text").count() == 0
 
 
+def spelled(pattern):
+    """All texts that a rule's pattern matches."""
+    out = [""]
+    for kind, value in pattern:
+        kind = str(kind)
+        if kind == "LITERAL":
+            parts = [chr(value)]
+        elif kind == "IN":
+            parts = [chr(c) for k, v in value for c in ([v] if str(k) == "LITERAL" else range(v[0], v[1] + 1))]
+        elif kind == "SUBPATTERN":
+            parts = spelled(value[3])
+        elif kind == "BRANCH":
+            parts = [t for branch in value[1] for t in spelled(branch)]
+        else:
+            assert kind == "MAX_REPEAT" and value[:2] == (0, 1)
+            parts = ["", *spelled(value[2])]
+        out = [a + b for a in out for b in parts]
+    return out
+
+
+def test_every_match_passes_its_gate():
+    for rule in licenses.RULES:
+        # The grants before a name are alike and hold no keyword.
+        pattern = rule.pattern.replace(licenses._GRANT, "licensed under ")
+        for text in spelled(re._parser.parse(pattern)):
+            marked = "".join(f" {i}:{w} " for i, w in enumerate(text.split()))
+            assert re.fullmatch(licenses.regex(rule.pattern), marked), (rule, text)
+            # The sentence of the GNU notices names no license; there the keyword is a condition of its own.
+            assert rule.keyword == "gnu" or any(g in marked for g in licenses.gates(rule)), (rule, text)
+
+
+def test_license_names_run_on(spark):
+    texts = {
+        "Licensed under the GPLv2": ("gpl-2", 0.8), "GPL3 license": ("gpl-3", 0.5), "released under LGPLv2.1": ("lgpl-2.1", 0.8),
+        "the AGPLv3 licence": ("agpl-3", 0.5), "under Apache2: available under Apache2": ("apache-2", 0.8), "FreeBSD license": ("bsd-2-clause", 0.5),
+        "Apache1.1 license": ("apache-1.1", 0.5), "LGPL3 license": ("lgpl-3", 0.5), "gplv": ("", 0.0),
+    }
+    rows = list(enumerate(texts))
+    got = {r["key"]: (r["labels"], r["score"]) for r in licenses.scan(frame(spark, rows), "doc_id", "text").collect()}
+    assert got == {i: texts[t] for i, t in rows}
+    open_rules = [r._replace(gates=(":",)) for r in licenses.RULES]
+    open_got = {r["key"]: (r["labels"], r["score"]) for r in licenses.scan(frame(spark, rows), "doc_id", "text", open_rules).collect()}
+    assert open_got == got
+
+
 def test_mixing(spark):
     docs = frame(spark, TEXTS + [(200 + i, prose(5 + i % 7, i)) for i in range(300)])
     sized = docs.withColumn("words", n_words(whole(F.col("text"))))
