@@ -105,7 +105,8 @@ def phrase_starts(data: np.ndarray, offsets: np.ndarray, length: int, period: in
 
 def sample_places(data: np.ndarray, offsets: np.ndarray, length: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Places of the sampled ``seed``-byte strings and their hashes."""
-    low_bits = np.uint64((1 << 21) - 1)
+    # A stretch has _AT_ONCE + length - 1 bytes at most; the place in it must fit below the hash.
+    low_bits = np.uint64((1 << (_AT_ONCE + length - 1).bit_length()) - 1)
     places, hashes = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
     for a, b, ends in stretches(offsets, _AT_ONCE, length - 1):
         if b - a < length:

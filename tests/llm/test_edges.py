@@ -101,6 +101,15 @@ def test_long_documents_are_parsed_in_stretches(monkeypatch):
         assert (a == b).all()
 
 
+def test_repeats_across_the_edge_of_a_stretch(spark):
+    edge = repeats._AT_ONCE
+    long = "".join(random.Random(4).choices("abcdefghijklmnopqrstuvwxyz ", k=edge + 500))
+    # Passages that begin at, end at and lie across the edge; a stretch has places of its own.
+    for n, (a, b) in enumerate([(edge - 30, edge + 40), (edge - 26, edge + 24), (edge - 5, edge + 200)]):
+        cut = repeats.without_repeats(frame(spark, [(1, long[a:b]), (2, long)]), "doc_id", "text")
+        assert {r["doc_id"]: [tuple(s) for s in r["spans"]] for r in cut.collect()} == {1: [], 2: [(a, b)]}, n
+
+
 def test_quality(spark):
     docs = frame(spark, [*TEXTS, (30, "a b c\n" * 40), (31, "x y\nx y\n \nz"), (32, "# * <b> & 100%")])
     found = quality.features(docs, "text")
