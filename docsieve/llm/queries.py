@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docsieve.llm import fingerprints, htmltext, licenses, mixing, nearjoin, packing, quality, repeats, urls, warc
+from docsieve.llm import (
+    fingerprints, htmltext, licenses, linededup, mixing, nearjoin, packing, prefixtrie, quality, repeats, urls, warc,
+)
 from docsieve.llm.common import held, n_words, whole, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -318,6 +320,59 @@ SELECT doc_id, len(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
   {like("a", "b")} AS near_edited, {like("a", "c")} AS near_next FROM f"""
 
 
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    turns = _table(spark, folder, "conversations")
+    return prefixtrie.trie(prefixtrie.rebuilt(turns, "conv_id", "turn", "role", "text"))
+
+
+OP12_SQL = """
+WITH table_of AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_concat([i], range(8)),
+    lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc),
+t AS (
+  SELECT conv_id AS c, turn, strlen(coalesce(text, ''))::BIGINT AS n,
+    md5(len(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS k
+  FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({'k': k, 'n': n} ORDER BY turn NULLS FIRST, k) AS xs FROM t GROUP BY c),
+h AS (
+  SELECT c, xs, xor(list_reduce(list_concat([4294967295], list_transform(string_split(c::VARCHAR, ''), lambda x: ord(x)::BIGINT)),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1])), 4294967295) % 9 AS h FROM o, table_of),
+p AS (SELECT h.c, list_concat(coalesce(o.xs, [])[1:h], h.xs[h + 1:]) AS xs FROM h LEFT JOIN o ON o.c = h.c - h.c % 5),
+m AS (
+  SELECT c, d, len(xs) AS turns, array_to_string(list_transform(xs[1:d], lambda x: x.k), '') AS id,
+    CASE WHEN d > 0 THEN xs[d].n ELSE 0 END AS bytes
+  FROM (SELECT *, unnest(range(0, len(xs) + 1)) AS d FROM p)),
+node AS (
+  SELECT id, min(d) AS depth, min(c) AS conv_id, count(*) AS n_convs, min(bytes) AS bytes,
+    sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (turns = d), '')) AS ends_sha256 FROM m GROUP BY id),
+kids AS (SELECT left(id, len(id) - 32) AS up, count(*) AS n FROM node WHERE depth > 0 GROUP BY ALL),
+f AS (SELECT node.*, coalesce(kids.n, 0) AS n_children FROM node LEFT JOIN kids ON up = id),
+a AS (SELECT left(id, 32 * u) AS top, n_children, (n_convs - 1) * bytes AS saved FROM (SELECT *, unnest(range(0, depth + 1)) AS u FROM f)),
+s AS (SELECT top, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM a GROUP BY top)
+SELECT f.conv_id, f.depth, par.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, f.ends_sha256
+FROM f JOIN s ON top = f.id LEFT JOIN f par ON f.depth > 0 AND par.id = left(f.id, len(f.id) - 32)"""
+
+
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    cut = linededup.without_repeated_lines(docs, "doc_id", "text")
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP13_SQL = """
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+l AS (SELECT rid, doc_id, unnest(range(1, len(ls) + 1)) AS i, unnest(ls) AS line FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
+f AS (SELECT key, min(doc_id) AS first FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+v AS (SELECT k.rid, k.i, k.line, coalesce(f.first < k.doc_id, false) AS gone FROM k LEFT JOIN f ON k.key = f.key)
+SELECT d.doc_id, len(ls)::BIGINT AS n_lines, n_dropped, kept_sha256 FROM d JOIN (
+  SELECT rid, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+  FROM v GROUP BY rid) USING (rid)"""
+
+
 QUERIES: dict[str, Query] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_main_text": op2_main_text,
@@ -329,6 +384,8 @@ QUERIES: dict[str, Query] = {
     "op8_pack": op8_pack,
     "op9_warc": op9_warc,
     "op10_fingerprints": op10_fingerprints,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_line_dedup": op13_line_dedup,
 }
 SQL: dict[str, str] = {
     "op1_mix_sources": OP1_SQL,
@@ -339,6 +396,8 @@ SQL: dict[str, str] = {
     "op9_warc": OP9_SQL,
     "op6_license_scan": _op6_sql(),
     "op10_fingerprints": _op10_sql(),
+    "op12_prefix_trie": OP12_SQL,
+    "op13_line_dedup": OP13_SQL,
 }
 
 
