@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docsieve.llm import (
-    fingerprints, htmltext, licenses, linededup, mixing, nearjoin, packing, prefixtrie, quality, repeats, urls, warc,
+    collocations, fingerprints, htmltext, licenses, linededup, mixing, nearjoin, packing, prefixtrie, quality, repeats, urls, warc,
 )
 from docsieve.llm.common import held, n_words, whole, written
 
@@ -320,6 +320,37 @@ SELECT doc_id, len(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256,
   {like("a", "b")} AS near_edited, {like("a", "c")} AS near_next FROM f"""
 
 
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations.collocations(_table(spark, folder, "documents"), "text", "lang")
+
+
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, unnest(list_transform(range(1, greatest(len(ws) - k + 1, 0) + 1), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM w, range(1, 4) t(k)),
+f AS (SELECT lang, k, phrase, count(*) AS n FROM g GROUP BY ALL),
+totals AS (SELECT lang, sum(n)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, n AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND n >= 10),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+s AS (
+  SELECT c.lang, c.k, c.phrase, c.ws, c.a, c.cut, l.n AS l, r.n AS r,
+    (1000000::HUGEINT * c.a * c.a // (l.n::HUGEINT * r.n))::BIGINT AS score
+  FROM cuts c JOIN f l ON l.lang = c.lang AND l.k = c.cut AND l.phrase = array_to_string(c.ws[1:c.cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.k = c.k - c.cut AND r.phrase = array_to_string(c.ws[c.cut + 1:], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT lang, array_to_string(ws[i:i + 1], ' ') AS phrase, max(a) AS longer
+  FROM c, range(1, 3) t(i) WHERE k = 3 GROUP BY ALL),
+kept AS (SELECT b.* FROM b LEFT JOIN inside USING (lang, phrase) WHERE b.k = 3 OR longer IS NULL OR 100 * longer < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, totals.n AS n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
 def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations")
     return prefixtrie.trie(prefixtrie.rebuilt(turns, "conv_id", "turn", "role", "text"))
@@ -384,6 +415,7 @@ QUERIES: dict[str, Query] = {
     "op8_pack": op8_pack,
     "op9_warc": op9_warc,
     "op10_fingerprints": op10_fingerprints,
+    "op11_collocations": op11_collocations,
     "op12_prefix_trie": op12_prefix_trie,
     "op13_line_dedup": op13_line_dedup,
 }
@@ -396,6 +428,7 @@ SQL: dict[str, str] = {
     "op9_warc": OP9_SQL,
     "op6_license_scan": _op6_sql(),
     "op10_fingerprints": _op10_sql(),
+    "op11_collocations": OP11_SQL,
     "op12_prefix_trie": OP12_SQL,
     "op13_line_dedup": OP13_SQL,
 }
