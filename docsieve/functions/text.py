@@ -7,6 +7,7 @@ so analysing a table never shuffles.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterable, Sequence
 from functools import reduce
 
@@ -231,3 +232,38 @@ def with_synonyms(words: Column | str, groups: Sequence[Sequence[str]] = SYNONYM
     lowered = F.transform(_col(words), F.lower)
     found = F.transform(lowered, lambda w: F.coalesce(F.element_at(table, w), F.array(w)))
     return F.array_distinct(F.flatten(found))
+
+
+def synonym_graph(words: Column | str, groups: Sequence[Sequence[str]] = SYNONYM_GROUPS) -> Column:
+    """Alternatives per place of a query text, as an array of arrays of texts.
+
+    At each word the longest run of words that a group names wins and stands for all members of its
+    groups; other words stand for themselves. One fold over the words, with the groups as a map literal.
+    """
+    words = F.transform(_col(words), F.lower)
+    members: dict[str, list[str]] = {}
+    for group in groups:
+        names = [" ".join(re.findall(r"[^\W_]+", m.lower())) for m in group]
+        for name in names:
+            members[name] = list(dict.fromkeys([*members.get(name, [name]), *names]))
+    if not members:
+        return F.transform(words, lambda w: F.array(w))
+    table = F.create_map(*[x for name, every in members.items() for x in (F.lit(name), F.array(*[F.lit(m) for m in every]))])
+    longest = max(len(name.split()) for name in members)
+    start = F.struct(F.lit(0).alias("next"), F.array().cast("array<array<string>>").alias("out"))
+
+    def taken(state: Column, i: Column, n: int, found: Column) -> Column:
+        return F.struct((i + n).alias("next"), F.concat(state["out"], F.array(found)).alias("out"))
+
+    def step(state: Column, i: Column, of: Column) -> Column:
+        choice = F.when(i < state["next"], state)
+        for n in range(longest, 0, -1):
+            found = F.element_at(table, F.array_join(F.slice(of, i + 1, n), " "))
+            choice = choice.when((i + n <= F.size(of)) & found.isNotNull(), taken(state, i, n, found))
+        return choice.otherwise(taken(state, i, 1, F.array(F.get(of, i))))
+
+    def fold(of: Column) -> Column:
+        places = F.transform(of, lambda _, i: i)
+        return F.aggregate(places, start, lambda state, i: step(state, i, of), lambda state: state["out"])
+
+    return let(words, fold)

@@ -8,6 +8,8 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 
 from docsieve.plans import (  # noqa: F401  (importing a module registers its queries)
+    ordered,
+    querytexts,
     reports,
     search,
     selects,
