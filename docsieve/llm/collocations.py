@@ -28,7 +28,8 @@ TOP = 2000
 TRIE_PHRASES = 1 << 17
 FILTER_WORDS = 1 << 21  # 16 MB of bits
 REPEATED = 4  # times in one stretch that propose a phrase for the trie
-_AT_ONCE = 1 << 22  # bytes of text worked on together
+_AT_ONCE = 1 << 21  # bytes of text worked on together
+_HASHED = 1 << 19  # bytes hashed together
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64)
 # Kinds of bytes: 0 in a word, 1 blank between words, 2 end of a piece.
@@ -43,7 +44,7 @@ _powers: dict[int, np.ndarray] = {}
 def _power(multiplier: int, n: int) -> np.ndarray:
     have = _powers.get(multiplier)
     if have is None or len(have) < n:
-        size = max(n, _AT_ONCE)
+        size = max(n, _HASHED)
         have = np.full(size, multiplier, dtype=np.uint64)
         have[0] = 1
         have = _powers[multiplier] = np.cumprod(have)
@@ -60,6 +61,20 @@ def mixed(*hashes: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
+def _hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of byte ranges in order, the same wherever the bytes lie; some words at a time to save memory."""
+    out = np.empty(len(start), dtype=np.uint64)
+    i = 0
+    while i < len(start):
+        j = max(int(np.searchsorted(end, start[i] + _HASHED, side="right")), i + 1)
+        a, b = int(start[i]), int(end[j - 1])
+        sums = np.append(np.uint64(0), np.cumsum(_BYTES[data[a:b]] * _power(_MULTIPLIER, b - a)))
+        back = _power(pow(_MULTIPLIER, -1, 1 << 64), b - a)
+        out[i:j] = (sums[end[i:j] - a] - sums[start[i:j] - a]) * back[start[i:j] - a]
+        i = j
+    return out
+
+
 class Words:
     """The words of a stretch of documents: where they lie, their hashes, and which follow each other in a piece."""
 
@@ -74,9 +89,7 @@ class Words:
         self.owner = np.searchsorted(offsets, self.start, side="right") - 1
         piece = np.cumsum(kind == 2, dtype=np.int32)[self.start]
         self.joined = (piece[1:] == piece[:-1]) & (self.owner[1:] == self.owner[:-1])
-        sums = np.append(np.uint64(0), np.cumsum(_BYTES[data] * _power(_MULTIPLIER, len(data))))
-        h = sums[self.end] - sums[self.start]
-        h *= _power(pow(_MULTIPLIER, -1, 1 << 64), len(data) + 1)[self.start]
+        h = _hashes(data, self.start, self.end)
         self.hash = mixed(h, (self.end - self.start).astype(np.uint64), lang[self.owner].view(np.uint64))
 
     def __len__(self) -> int:

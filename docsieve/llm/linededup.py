@@ -140,12 +140,13 @@ def without_repeated_lines(
     shipped(docs.sparkSession)
     docs = docs.drop(*[c for c in ("kept", "n_lines", "n_dropped") if c not in (key, text)])
     names = docs.columns
-    # The rows travel as one column, so that no name of theirs can clash.
+    # The rows travel as one column, so that no name of theirs can clash; the text is in it once.
     rows = docs.select(
-        docs[key].alias("d"), F.xxhash64(whole(docs[text])).alias("r"), whole(docs[text]).alias("t"),
+        docs[key].alias("d"), F.xxhash64(whole(docs[text])).alias("r"),
         F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)]).alias("row"),
     )
-    each = rows.select("d", "r", F.posexplode(F.split("t", "\n", -1)).alias("i", "line"))
+    told = whole(F.col(f"row.c{names.index(text)}"))
+    each = rows.select("d", "r", F.posexplode(F.split(told, "\n", -1)).alias("i", "line"))
     lines = each.select("d", "r", "i", line_key(F.col("line")).alias("k")).where(F.length("k") >= least_chars)
     lines = lines.withColumn("h", F.xxhash64("k"))
     doubtful = written(suspected(lines, twice_seen(lines, n_words)).drop("h"), "suspected_lines")
@@ -158,10 +159,10 @@ def without_repeated_lines(
     # Rows of equal key and text drop the same lines, so their places are one set.
     gone = gone.groupBy(F.col("d").alias("gd"), F.col("r").alias("gr")).agg(F.collect_set("i").alias("gone"))
     joined = rows.join(gone, F.col("d").eqNullSafe(F.col("gd")) & (F.col("r") == F.col("gr")), "left")
-    left = _without(F.when(F.col("gone").isNotNull(), F.col("t")), F.col("gone"))
+    left = _without(F.when(F.col("gone").isNotNull(), told), F.col("gone"))
     return joined.select(
         *[F.col(f"row.c{i}").alias(c) for i, c in enumerate(names)],
-        F.coalesce(left, "t").alias("kept"),
-        F.size(F.split("t", "\n", -1)).cast("long").alias("n_lines"),
+        F.coalesce(left, told).alias("kept"),
+        (F.regexp_count(told, F.lit("\n")) + 1).cast("long").alias("n_lines"),
         F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_dropped"),
     )
