@@ -23,6 +23,8 @@ SIMILARITY_THRESHOLD = 0.7
 BROADCAST_ROWS = 10_000
 # Query vectors sent to the tasks at once, and scores that a task holds at once (16 MB).
 CHUNK_ROWS = 2_000
+# Base rows that a task of a batch search holds.
+BLOCK_ROWS = 50_000
 SCORE_VALUES = 2_000_000
 
 
@@ -206,33 +208,63 @@ def knn_batch(
     query_key: str = "query_id",
     query_vector: str = "query_vector",
     chunk_rows: int = CHUNK_ROWS,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """(query_id, key, score, rank) of the k nearest rows for every query vector.
 
-    The queries are dealt into chunks of about ``chunk_rows``. Each chunk is sent to the tasks,
-    which scan the base where it lies; the base is neither moved nor repeated. Queries without a
-    vector have no neighbours.
+    The base is dealt by hash into blocks of about ``block_rows``; every block meets all queries, which
+    are sent to it and stream past it, ``chunk_rows`` at a time. So a task holds one block and some scores,
+    neither side passes through the driver, and the plan does not grow with the queries. Each query
+    leaves a block with its k best rows. Queries without a vector have no neighbours; rows that are equal in
+    key and vector share a block.
     """
     wanted = queries.where(F.col(query_vector).isNotNull()).select(
         F.col(query_key).cast("bigint").alias("query_id"),
-        F.col(query_vector).cast("array<double>").alias("query_vector"),
+        F.col(query_vector).cast("array<double>").alias("vector"),
     )
-    chunks = max(1, -(-wanted.count() // chunk_rows))
-    chunk = F.pmod(F.xxhash64("query_id"), F.lit(chunks))
-    partial = None
-    for i in range(chunks):
-        some = wanted.where(chunk == i).toPandas()
-        if some.empty:
-            continue
-        sizes = sorted({len(v) for v in some["query_vector"]})
-        if len(sizes) > 1:
-            raise ValueError(f"query vectors have {sizes[0]} and {sizes[1]} values")
-        part = _scored(df, key, vector, some["query_id"].tolist(), np.stack(some["query_vector"]), k)
-        partial = part if partial is None else partial.unionByName(part)
-    if partial is None:
-        none = df.select(F.lit(0).cast("bigint").alias("query_id"), F.col(key).alias("key"), F.lit(0.0).alias("score"))
-        partial = none.where(F.lit(False))
-    return best_per_query(partial, k).withColumnRenamed("key", key)
+    size = wanted.agg(F.min(F.size("vector")).alias("least"), F.max(F.size("vector")).alias("most")).first().asDict()
+    if size["least"] != size["most"]:
+        raise ValueError(f"query vectors have {size['least']} and {size['most']} values")
+    blocks = max(1, -(-df.count() // block_rows))
+    base = df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
+    base = base.select(
+        F.pmod(F.xxhash64("key", "vector"), F.lit(blocks)).cast("int").alias("block"), F.lit(False).alias("asks"),
+        F.lit(None).cast("bigint").alias("query_id"), "key", "vector",
+    )
+    asking = wanted.select(
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(True).alias("asks"), "query_id",
+        F.lit(None).cast(df.schema[key].dataType).alias("key"), "vector",
+    )
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+        for batch in batches:
+            batch = batch.filter(batch.column("vector").is_valid())
+            block = batch.column("block").to_numpy()
+            asks = batch.column("asks").to_numpy(zero_copy_only=False)
+            # Runs of one block's rows, then of the queries that meet it.
+            turn = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (asks[1:] != asks[:-1]))) if len(block) else []
+            for a, b in zip(turn, [*turn[1:], len(block)]):
+                if block[a] != at:
+                    at, held = block[a], []
+                part = batch.slice(a, b - a)
+                if not asks[a]:
+                    held.append(pa.table({"key": part.column("key"), "vector": part.column("vector")}))
+                    continue
+                if not held:
+                    continue
+                if len(held) > 1:
+                    held = [pa.concat_tables(held)]
+                rows = held[0].combine_chunks().to_batches()
+                for c in range(0, len(part), chunk_rows):
+                    some = part.slice(c, chunk_rows)
+                    matrix = _matrix(some.column("vector"), size["most"])
+                    yield from _scorer(some.column("query_id").to_pylist(), matrix, k)(iter(rows))
+
+    key_sql = df.schema[key].dataType.simpleString()
+    met = base.unionByName(asking).repartition("block").sortWithinPartitions("block", "asks")
+    found = met.mapInArrow(meet, f"query_id bigint, key {key_sql}, score double")
+    return best_per_query(found, k).withColumnRenamed("key", key)
 
 
 def best_per_query(partial: DataFrame, k: int) -> DataFrame:

@@ -12,6 +12,7 @@ from docsieve.operators import spelling as L
 from docsieve.operators import vector as V
 from docsieve.plans.registry import Tables, query, terms_sql
 from docsieve.plans.texts import EMBED_SQL
+from docsieve.sources import positions as P
 from docsieve.sources import postings as I
 
 
@@ -117,6 +118,37 @@ def phrase_slop(t: Tables) -> DataFrame:
     return K.near(t.wide("documents"), "text", "er th st", 20).select("doc_id")
 
 
+@query(
+    "phrase_postings",
+    f"""
+    WITH {PLACES}
+    SELECT DISTINCT a.id AS doc_id FROM place a JOIN place b ON a.id = b.id AND b.p = a.p + 1
+    WHERE a.term = 'from' AND b.term = 'th'
+    """,
+)
+def phrase_postings(t: Tables) -> DataFrame:
+    """The same phrase from a table of positions that is built first."""
+    path = t.scratch("positions")
+    P.build(t.wide("documents"), "doc_id", "text", path, buckets=16)
+    return P.phrase(t.spark, path, "From th", "doc_id")
+
+
+@query(
+    "phrase_slop_postings",
+    f"""
+    WITH {PLACES}
+    SELECT DISTINCT a.id AS doc_id FROM place a
+    JOIN place b ON a.id = b.id JOIN place c ON a.id = c.id
+    WHERE a.term = 'er' AND b.term = 'th' AND c.term = 'st'
+      AND greatest(a.p, b.p - 1, c.p - 2) - least(a.p, b.p - 1, c.p - 2) <= 20
+    """,
+)
+def phrase_slop_postings(t: Tables) -> DataFrame:
+    path = t.scratch("positions")
+    P.build(t.wide("documents"), "doc_id", "text", path, buckets=16)
+    return P.phrase(t.spark, path, "er th st", "doc_id", slop=20)
+
+
 def highlight_sql(field: str, source: str, key: str, words: str) -> str:
     """Fragments with words fenced by control characters, so that no look-around is needed."""
     return rf"""

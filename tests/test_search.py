@@ -72,9 +72,14 @@ def test_batch_paths_agree(spark, vectors):
     queries = spark.createDataFrame(asked, "query_id bigint, query_vector array<double>")
     sent = V.knn_batch(df, queries, "id", 7)
     blocks = V.knn_batch(df, queries, "id", 7, chunk_rows=3)
+    small = V.knn_batch(df, queries, "id", 7, chunk_rows=11, block_rows=13)
     a = sorted((r["query_id"], r["rank"], r["id"]) for r in sent.collect())
     b = sorted((r["query_id"], r["rank"], r["id"]) for r in blocks.collect())
-    assert a == b
+    assert a == b == sorted((r["query_id"], r["rank"], r["id"]) for r in small.collect())
+    # The plan is as large for a hundred times the queries.
+    many = queries.crossJoin(spark.range(100)).selectExpr("query_id * 100 + id AS query_id", "query_vector")
+    size = lambda q: len(V.knn_batch(df, q, "id", 7)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+    assert size(many) <= size(queries) + 5
     for q, v in asked:
         assert [i for qq, _, i in a if qq == q] == [i for _, i in expected(known, np.array(v), 7)]
 
