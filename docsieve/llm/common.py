@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -77,23 +76,28 @@ def shipped(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
-def released(spark: SparkSession) -> None:
-    """Let go of the shuffle files of finished steps.
-
-    Spark removes a plan's shuffle files once the driver's garbage collector finds the plan unused.
-    A driver that has little to do collects rarely, and the files of all steps would pile up on the
-    executors' disks.
-    """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+# Takes a plan's shuffle files away as soon as its query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """The rows, written once as Parquet to the shared scratch folder and read back from it."""
-    released(df.sparkSession)
-    path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """The rows, written once as Parquet to the shared scratch folder and read back from it.
+
+    The shuffle files of the step are let go with it. Left to the driver's garbage collector, those of
+    all steps would pile up on the executors' disks.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def spread_key(*columns: Column, digits: int = 3) -> Column:
@@ -111,6 +115,6 @@ def group_offsets(counts: DataFrame, groups: list[str], block: str, n: str) -> D
 
 
 __all__ = [
-    "SPACE", "WORD", "group_offsets", "held", "let", "lower_ascii", "n_words", "released", "shingle_hashes", "shipped",
+    "SPACE", "WORD", "group_offsets", "held", "let", "lower_ascii", "n_words", "shingle_hashes", "shipped",
     "spread_key", "whole", "words", "written",
 ]

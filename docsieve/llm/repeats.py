@@ -25,8 +25,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docsieve.llm.common import held, released, shipped, whole, written
+from docsieve.llm.common import shipped, whole, written
 
 LENGTH = 50
 PERIOD = 256  # mean distance of phrase starts
@@ -184,33 +185,62 @@ def parse(rows: DataFrame, length: int = LENGTH, period: int = PERIOD) -> DataFr
     return rows.mapInArrow(cut, "d long, r long, h1 long, h2 long, a long, b long")
 
 
-def samples(rows: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
-    """(s, d, place): the sampled places of every document."""
+def still_open(places: np.ndarray, low: np.ndarray, high: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Which ranges ``low`` to ``high`` of window starts no union of ``starts`` to ``ends`` (sorted by start) covers."""
+    if not len(starts):
+        return np.ones(len(places), dtype=bool)
+    ends = np.maximum.accumulate(ends)
+    head = np.append(True, starts[1:] > ends[:-1] + 1)
+    first, last = starts[head], ends[np.append(head[1:], True)]
+    at = np.searchsorted(first, low, side="right") - 1
+    return (at < 0) | (last[at.clip(min=0)] < high)
+
+
+def samples(full: DataFrame, text: str, repeated: DataFrame, length: int = LENGTH, seed: int = SEED) -> DataFrame:
+    """(s, d, r, place): sampled places of ``full(d, r, text)`` with a window outside repeated phrases.
+
+    Of a phrase that several documents have only the first document's places are left, which is enough:
+    the smallest document of a string has it in a phrase that no smaller one has.
+    """
+    covered = repeated.groupBy(F.col("d").alias("rd"), F.col("r").alias("rr")).agg(F.collect_set(F.struct("a", "b")).alias("covered"))
+    joined = full.join(covered, (F.col("d") == F.col("rd")) & (F.col("r") == F.col("rr")), "left")
+    joined = joined.select("d", "r", F.encode(whole(F.col(text)), "UTF-8").alias("data"), "covered")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = _buffers(batch.column("data"))
             places, hashes = sample_places(data, offsets, length, seed)
             owner = np.searchsorted(offsets, places, side="right") - 1
+            known = batch.column("covered")
+            sizes = known.value_lengths().fill_null(0).to_numpy()
+            spans = known.flatten()
+            base = np.repeat(offsets[:-1], sizes)
+            starts, ends = base + spans.field("a").to_numpy(), base + spans.field("b").to_numpy() - length
+            order = np.argsort(starts, kind="stable")
+            low = np.maximum(places - (length - seed), offsets[owner])
+            high = np.minimum(places, offsets[owner + 1] - length)
+            keep = still_open(places, low, high, starts[order], ends[order])
+            places, hashes, owner = places[keep], hashes[keep], owner[keep]
+            who = pa.array(owner)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(hashes), batch.column("d").take(pa.array(owner)), pa.array(places - offsets[owner])],
-                ["s", "d", "place"],
+                [pa.array(hashes), batch.column("d").take(who), batch.column("r").take(who), pa.array(places - offsets[owner])],
+                ["s", "d", "r", "place"],
             )
 
-    return rows.select("d", "data").mapInArrow(cut, "s long, d long, place long")
+    return joined.mapInArrow(cut, "s long, d long, r long, place long")
 
 
 def shared(found: DataFrame, split_rows: int) -> DataFrame:
-    """(d, place, hot) of samples that two documents or more have, by one sort and one pass.
+    """(d, r, place, hot) of samples that two documents or more have, by one sort and one pass.
 
     A sample's rows wait until they are known to be shared, and up to ``split_rows`` of them until
     it is known whether there are more, which makes them ``hot``.
     """
 
     def flagged(table: pa.Table | pa.RecordBatch, hot: bool) -> pa.RecordBatch:
-        columns = [table.column(c) for c in ("d", "place")]
+        columns = [table.column(c) for c in ("d", "r", "place")]
         columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in columns]
-        return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), hot))], ["d", "place", "hot"])
+        return pa.RecordBatch.from_arrays([*columns, pa.array(np.full(len(columns[0]), hot))], ["d", "r", "place", "hot"])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting, hot = None, None  # rows of the last sample; the last sample, once it is hot
@@ -250,43 +280,25 @@ def shared(found: DataFrame, split_rows: int) -> DataFrame:
             if d.min() < d.max():
                 yield flagged(waiting, False)
 
-    return found.repartition("s").sortWithinPartitions("s").mapInArrow(keep, "d long, place long, hot boolean")
+    return found.repartition("s").sortWithinPartitions("s").mapInArrow(keep, "d long, r long, place long, hot boolean")
 
 
-def contexts(
-    full: DataFrame, text: str, places: DataFrame, repeated: DataFrame, length: int, seed: int, how: str = "left"
-) -> DataFrame:
-    """(s, d, r, place, lo, hi, context) for the shared samples that some first occurrence has.
+def contexts(full: DataFrame, text: str, places: DataFrame, length: int, seed: int, how: str = "left") -> DataFrame:
+    """(s, d, r, place, lo, hi, context) for the shared samples ``places(d, r, place)``.
 
     The context is the bytes around the sample that windows through it can reach; ``lo`` to ``hi``
-    lie inside the document. Places all of whose windows lie in repeated phrases are left out.
+    lie inside the document.
     """
     reach = length - seed
-    by_doc = places.groupBy("d").agg(F.collect_list("place").alias("places"))
-    covered = repeated.groupBy("d").agg(F.collect_list(F.struct("r", "a", "b")).alias("covered"))
-    joined = full.join(by_doc, "d", how).join(covered, "d", "left")
-    data = F.encode(whole(F.col(text)), "UTF-8")
-    joined = joined.withColumn("data", data).withColumn("r", F.xxhash64("data"))
+    by_doc = places.groupBy(F.col("d").alias("pd"), F.col("r").alias("pr")).agg(F.collect_set("place").alias("places"))
+    joined = full.join(by_doc, (F.col("d") == F.col("pd")) & (F.col("r") == F.col("pr")), how)
+    joined = joined.withColumn("data", F.encode(whole(F.col(text)), "UTF-8"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in np.flatnonzero(batch.column("places").is_valid().to_numpy(zero_copy_only=False)).tolist():
                 data = np.frombuffer(batch.column("data")[i].as_buffer(), dtype=np.uint8)
                 place = batch.column("places")[i].values.to_numpy()
-                fits = place + seed <= len(data)
-                done = np.zeros(max(len(data) - length + 1, 0) + 1, dtype=np.int32)
-                if batch.column("covered")[i].is_valid:
-                    known = batch.column("covered")[i].values
-                    mine = known.field("r").to_numpy() == batch.column("r")[i].as_py()
-                    a, b = known.field("a").to_numpy()[mine], known.field("b").to_numpy()[mine]
-                    np.add.at(done, a, 1)
-                    np.add.at(done, b - length + 1, -1)
-                still = np.concatenate([[0], np.cumsum(np.cumsum(done)[:-1] == 0)])
-                low, high = np.maximum(place - reach, 0), np.minimum(place + 1, len(still) - 1)
-                fits &= still[np.maximum(high, low).clip(max=len(still) - 1)] > still[low.clip(max=len(still) - 1)]
-                place = place[fits]
-                if not len(place):
-                    continue
                 at = place[:, None] + np.arange(-reach, length)
                 inside = (at >= 0) & (at < len(data))
                 context = np.where(inside, data[at.clip(0, len(data) - 1)], 0).astype(np.uint8)
@@ -391,6 +403,8 @@ def without_repeats(
     hash beside their sample's, phrases by 128.
     """
     shipped(docs.sparkSession)
+    if not isinstance(docs.schema[key].dataType, T.IntegralType):
+        raise ValueError(f"{key} must hold whole numbers")
     docs = docs.drop("kept", "spans")
     names = docs.columns
     order: Column = F.coalesce(docs[key].cast("long"), F.lit((1 << 63) - 1))
@@ -401,33 +415,34 @@ def without_repeats(
     least = phrases.groupBy(F.col("h1").alias("g1"), F.col("h2").alias("g2")).agg(F.min("d").alias("least"))
     repeated = phrases.join(least, (F.col("h1") == F.col("g1")) & (F.col("h2") == F.col("g2"))).where("least < d")
     repeated = written(repeated.select("d", "r", "a", "b"), "repeated")
-    places = written(shared(samples(rows, length, seed), split_rows), "samples")
 
     # The same columns meet the places and, later, the spans, so that Spark sends the texts once.
-    full = docs.select(*[docs[c].alias(f"c{i}") for i, c in enumerate(names)], order.alias("d"))
-    released(docs.sparkSession)
+    full = docs.select(
+        *[docs[c].alias(f"c{i}") for i, c in enumerate(names)], order.alias("d"),
+        F.xxhash64(F.encode(whole(docs[text]), "UTF-8")).alias("r"),
+    )
     body = f"c{names.index(text)}"
+    places = written(shared(samples(full, body, repeated, length, seed), split_rows), "samples")
     cold, hot = places.where("NOT hot"), places.where("hot")
-    spans = suffix_spans(contexts(full, body, cold, repeated, length, seed), length, seed).unionByName(repeated)
+    spans = suffix_spans(contexts(full, body, cold, length, seed), length, seed).unionByName(repeated)
     if not hot.isEmpty():
-        found = written(contexts(full, body, hot, repeated, length, seed, "inner"), "hot_contexts")
+        found = written(contexts(full, body, hot, length, seed, "inner"), "hot_contexts")
         spans = spans.unionByName(hot_spans(found, length, seed))
-    by_doc = spans.groupBy("d").agg(F.collect_list(F.struct("r", "a", "b")).alias("found"))
-    data = F.encode(whole(F.col(body)), "UTF-8")
-    joined = full.join(by_doc, "d", "left")
+    # Rows of equal key and text have the same spans, which are one set.
+    by_doc = spans.groupBy(F.col("d").alias("sd"), F.col("r").alias("sr")).agg(F.collect_set(F.struct("a", "b")).alias("found"))
+    joined = full.join(by_doc, (F.col("d") == F.col("sd")) & (F.col("r") == F.col("sr")), "left")
+    joined = joined.withColumn("data", F.encode(whole(F.col(body)), "UTF-8"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             kept, removed = [], []
-            for value, r, found in zip(batch.column("data"), batch.column("r"), batch.column("found")):
+            for value, found in zip(batch.column("data"), batch.column("found")):
                 value = value.as_buffer().to_pybytes()
                 if not found.is_valid:
                     kept.append(value)
                     removed.append([])
                     continue
-                known = found.values
-                mine = known.field("r").to_numpy() == r.as_py()
-                a, b = known.field("a").to_numpy()[mine], known.field("b").to_numpy()[mine]
+                a, b = found.values.field("a").to_numpy(), found.values.field("b").to_numpy()
                 by_start = np.argsort(a, kind="stable")
                 a, b = a[by_start], np.maximum.accumulate(b[by_start]) if len(b) else b
                 head = np.append(True, a[1:] > b[:-1]) if len(a) else np.empty(0, bool)
@@ -441,9 +456,5 @@ def without_repeats(
             )
 
     kinds = ", ".join(f"c{i} {docs.schema[c].dataType.simpleString()}" for i, c in enumerate(names))
-    # What the steps above have sent around is not needed by the rest.
-    released(docs.sparkSession)
-    out = held(joined, data=data).withColumn("r", F.xxhash64("data")).mapInArrow(
-        cut, f"{kinds}, kept binary, spans array<struct<a:long,b:long>>"
-    )
+    out = joined.mapInArrow(cut, f"{kinds}, kept binary, spans array<struct<a:long,b:long>>")
     return out.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)], "kept", "spans")
