@@ -27,9 +27,13 @@ END_ID = 2
 ENCODE_AT_ONCE = 64
 
 
+# Names of special tokens that rank files leave out, with their ids.
+SPECIAL = {"<|endoftext|>": 50256}
+
+
 @lru_cache(maxsize=2)
 def encoder(path: str):
-    """Texts to lists of ids; the file's kind is told by its ending. Special tokens are ordinary text."""
+    """Texts to lists of ids; the file's kind is told by its ending. A special token's name in a text is that token."""
     if path.endswith(".tiktoken"):
         import base64
 
@@ -38,12 +42,12 @@ def encoder(path: str):
 
         with open(path, "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-        enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        return lambda texts: [enc.encode_ordinary(t) for t in texts]
+        enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=SPECIAL)
+        has_special = lambda t: any(name in t for name in SPECIAL)
+        return lambda texts: [enc.encode(t, allowed_special="all") if has_special(t) else enc.encode_ordinary(t) for t in texts]
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return lambda texts: [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
 
 

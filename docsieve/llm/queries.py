@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -251,9 +250,10 @@ SELECT doc_id, len(g)::BIGINT AS n_shingles, (SELECT min(r) FROM c WHERE c.doc_i
 
 
 def op8_pack(spark: SparkSession, folder: str) -> DataFrame:
-    packed = packing.pack(
-        _table(spark, folder, "documents"), "doc_id", "text", public_tokenizers.path("byte_bpe_50k.tiktoken")
-    )
+    import public_tokenizers
+
+    tokenizer = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    packed = packing.pack(_table(spark, folder, "documents"), "doc_id", "text", tokenizer)
     return packed.withColumnRenamed("key", "doc_id")
 
 

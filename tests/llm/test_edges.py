@@ -238,14 +238,36 @@ def test_targets_share_what_capped_sources_leave(spark):
     assert sum(got.values()) == pytest.approx(216)
 
 
+def plain_bins(lengths, capacity):
+    """Number of bins when each takes the longest piece left and what fills it best, one bin at a time."""
+    left = sorted(lengths, reverse=True)
+    n = 0
+    while left:
+        n += 1
+        first = left.pop(0)
+        # Sums that can be reached, each by the pieces tried first: every longest one as often as it goes.
+        reach = {0: ()}
+        room = capacity - first
+        for i, length in enumerate(left):
+            for total, chosen in list(reach.items()):
+                if total + length <= room and total + length not in reach:
+                    reach[total + length] = (*chosen, i)
+            if room in reach:
+                break
+        for i in sorted(reach[max(reach)], reverse=True):
+            left.pop(i)
+    return n
+
+
 def test_packing(spark):
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path
     rows = TEXTS + [(300 + i, prose(20 + 37 * i % 900, i)) for i in range(120)]
+    end = "<|endoftext|>"
+    rows += [(500, f"hello {end} x"), (501, f"{end}a b"), (502, f"a b {end}"), (503, f"{end}{end} c\n{end}"), (504, "<|endof" + end), (505, end + "text|>")]
     packed = packing.pack(frame(spark, rows), "doc_id", "text", path("byte_bpe_50k.tiktoken")).collect()
     tok = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     expected = []
     for k, t in rows:
         ids = [*tok.encode(t or "", add_special_tokens=False).ids, 2]
@@ -264,6 +286,7 @@ def test_packing(spark):
             at += length
         assert at <= 1024
     assert len(bins) <= -(-sum(r["length"] for r in packed) // 1024) * 1.02 + 1
+    assert len(bins) == plain_bins([r["length"] for r in packed], 1024)
     assert packing.pack(empty(spark), "doc_id", "text", path("byte_bpe_50k.tiktoken")).count() == 0
 
 
