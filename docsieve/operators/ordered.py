@@ -104,7 +104,7 @@ def _changed(op: str, value, change: str | None, cast: Callable):
         return [*(value or []), change]
     if value is None:
         return None
-    return [v for v in value if (v != change if op == "remove" else not (v is not None and re.fullmatch(change, v)))]
+    return [v for v in value if (v != change if op == "remove" else not (v is not None and re.search(change, v)))]
 
 
 def _caster(kind: T.DataType) -> Callable:
@@ -127,7 +127,7 @@ def chained_update(
     ``changes(key, seq, expected, field, op, value)`` has a row per operation; those of one key and ``seq``
     are one request and apply together or not at all, in the order ``set``, ``set-if-null``, ``inc``, ``add``,
     ``remove``, ``removeregex``. Later requests see what earlier ones left. Each request raises the version
-    by one. A missing number counts as 0, patterns must match the whole value. Fields outside ``fields`` and
+    by one. A missing number counts as 0, patterns match anywhere in a value. Fields outside ``fields`` and
     unknown operations are an error.
     """
     ranks = {op: i for i, op in enumerate(["set", "set-if-null", "inc", "add", "remove", "removeregex"])}

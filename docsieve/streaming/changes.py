@@ -58,10 +58,19 @@ def log_changes(
     return _start(stream, write, checkpoint, within_ms, "append")
 
 
-def log_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """The log as one change table. ``seq`` becomes (batch, seq): later batches win."""
+def log_table(
+    spark: SparkSession, path: str, schema: T.StructType, after: int | None = None, upto: int | None = None
+) -> DataFrame:
+    """The log as one change table. ``seq`` becomes (batch, seq): later batches win.
+
+    With ``after`` and ``upto`` only the folders of later batches, up to and with the last, are read.
+    """
     rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())]))
     log = rows.option("basePath", path).parquet(path)
+    if after is not None:
+        log = log.where(F.col("batch") > after)
+    if upto is not None:
+        log = log.where(F.col("batch") <= upto)
     if DELETED not in log.columns:
         log = log.withColumn(DELETED, F.lit(False))
     return log.withColumn(SEQ, F.struct("batch", SEQ)).drop("batch")
