@@ -14,6 +14,7 @@ from docsieve.plans.registry import Tables, query, terms_sql
 from docsieve.plans.texts import EMBED_SQL
 from docsieve.sources import positions as P
 from docsieve.sources import postings as I
+from docsieve.sources import suggestions as S
 
 
 def bm25_sql(terms: list[str], source: str = "documents", key: str = "doc_id", text: str = "text") -> str:
@@ -235,6 +236,23 @@ def suggest(t: Tables) -> DataFrame:
     return L.suggest(t.part, "p_name", "Wi", "p_retailprice")
 
 
+@query(
+    "suggest_stored",
+    """
+    WITH e AS (SELECT p_name AS suggestion, max(p_retailprice) AS weight FROM part GROUP BY p_name),
+    w AS (SELECT DISTINCT suggestion, weight, substr(unnest(regexp_extract_all(lower(suggestion), '[a-z0-9]+')), 1, 3) AS prefix FROM e),
+    r AS (SELECT *, row_number() OVER (PARTITION BY prefix ORDER BY weight DESC, suggestion) AS rank FROM w WHERE length(prefix) = 3)
+    SELECT prefix, CAST(rank AS INTEGER) AS rank, suggestion, weight FROM r WHERE rank <= 10
+    """,
+)
+def suggest_stored(t: Tables) -> DataFrame:
+    """What the stored table answers for every beginning of three letters."""
+    path = t.scratch("suggestions")
+    S.build(t.part, "p_name", "p_retailprice", path, buckets=8)
+    stored = t.spark.read.parquet(f"{path}/prefixes")
+    return stored.where(F.length("prefix") == 3).select("prefix", "rank", "suggestion", "weight")
+
+
 def knn_sql(where: str = "true", probe: int = 0) -> str:
     """CTEs ending in ``near(vec_id, label, score)``, unordered."""
     return f"""

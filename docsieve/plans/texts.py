@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docsieve.functions import provider as M
 from docsieve.functions import scalars as C
 from docsieve.functions import text as X
 from docsieve.functions import vectors as E
@@ -350,6 +351,46 @@ def embed_udf(t: Tables) -> DataFrame:
     return dims.withColumn("n", F.col("n").cast("double"))
 
 
+def hashed_words():
+    """A model with a state of its own: buckets of the words it has met, made anew in every task."""
+    import hashlib
+
+    seen: dict[str, int] = {}
+
+    def bucket(word: str) -> int:
+        if word not in seen:
+            seen[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 64
+        return seen[word]
+
+    def vectors(texts: list[str]) -> list[list[float]]:
+        out = []
+        for text in texts:
+            v = [0.0] * 64
+            for word in text.split():
+                v[bucket(word)] += 1.0
+            size = sum(x * x for x in v) ** 0.5
+            out.append([x / size for x in v] if size else v)
+        return out
+
+    return vectors
+
+
+@query(
+    "embed_provider",
+    f"""
+    WITH {EMBED_SQL}
+    SELECT id AS doc_id, 'hashed-words' AS vector_model, 64 AS dimensions, CAST(dim AS INTEGER) AS dim, round(CAST(CAST(x AS FLOAT) AS DOUBLE), 5) AS x FROM vec
+    """,
+)
+def embed_provider(t: Tables) -> DataFrame:
+    """A provider with a name and a dimension gives what the built-in hashing gives."""
+    provider = M.Provider("hashed-words", 64, hashed_words)
+    terms = t.wide("documents").select("doc_id", F.array_join(X.index_terms("text"), " ").alias("terms"))
+    vectors = M.with_vectors(terms, "terms", provider)
+    dims = vectors.select("doc_id", "vector_model", "dimensions", F.posexplode("embedding").alias("dim", "x"))
+    return dims.where("x > 0").withColumn("x", F.round(F.col("x").cast("double"), 5))
+
+
 @query("mock_vectors", "SELECT doc_id, 64 AS dimension, 1.0::DOUBLE AS length FROM documents")
 def mock_vectors(t: Tables) -> DataFrame:
     vectors = t.wide("documents").select("doc_id", E.mock_vector("doc_id").alias("v"))
