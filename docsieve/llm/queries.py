@@ -195,7 +195,7 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
 def _op6_sql() -> str:
     quoted = lambda x: "'" + x.replace("'", "''") + "'"
     rules = ", ".join(
-        f"({i}, {quoted(r.label)}, {r.tier}, {quoted(f':{r.keyword} ')}, {quoted(licenses.regex(r.pattern))})"
+        f"({i}, {quoted(r.label)}, {r.tier}, [{', '.join(map(quoted, licenses.gates(r)))}], {quoted(licenses.regex(r.pattern))})"
         for i, r in enumerate(licenses.RULES)
     )
     low = "coalesce(text, '')"
@@ -203,13 +203,14 @@ def _op6_sql() -> str:
         low = f"replace({low}, '{a}', '{a.lower()}')"
     base = len(licenses.BASE)
     return rf"""
-WITH rules(rule, label, tier, gate, rx) AS (VALUES {rules}),
+WITH rules(rule, label, tier, gates, rx) AS (VALUES {rules}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all({low}, '{licenses.LICENSE_WORD}') AS ws FROM documents),
 m AS (
   SELECT rid, doc_id, len(ws)::BIGINT AS n_words,
     array_to_string(list_transform(range(1, len(ws) + 1), lambda i: ' ' || (i - 1) || ':' || ws[i] || ' '), '') AS t FROM d),
 x AS (
-  SELECT rid, rule, label, tier, unnest(regexp_extract_all(t, rx)) AS hit FROM m JOIN rules ON contains(t, gate)),
+  SELECT rid, rule, label, tier, unnest(regexp_extract_all(t, rx)) AS hit
+  FROM m, rules WHERE len(list_filter(gates, lambda g: contains(t, g))) > 0),
 f AS (
   SELECT rid, rule, label, tier, ltrim(split_part(hit, ':', 1))::BIGINT AS a,
     ltrim(split_part(hit, ':', 1))::BIGINT + len(hit) - len(replace(hit, ':', '')) AS b FROM x),
