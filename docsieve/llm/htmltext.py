@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,12 +22,14 @@ from docsieve.llm.common import shipped, whole, written
 from docsieve.llm.urls import host
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style noscript template svg iframe textarea title object math xmp noembed noframes".split())
+_RAW = frozenset("script style noscript template svg iframe textarea title object xmp noembed noframes annotation annotation-xml".split())
 _INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark nobr q rp rt ruby s samp "
-    "small span strike strong sub sup time tt u var center wbr img br picture source".split()
+    "small span strike strong sub sup time tt u var center wbr img br picture source "
+    "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup mover munder munderover mtable mtr mtd "
+    "mstyle mpadded mphantom mfenced menclose annotation annotation-xml".split()
 )
-_DROPPED = frozenset("nav footer aside form button select dialog menu input option datalist head".split())
+_DROPPED = frozenset("nav footer aside button select dialog menu input option datalist head".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar toolbar".split())
 _CLASSES = frozenset(
     "nav navbar navigation menu header footer sidebar aside notice notices cookie cookies consent banner alert ad ads "
@@ -45,6 +48,7 @@ _NO_ARTICLE = frozenset("comment comments ad ads advert teaser related".split())
 # What stands beside an article, however long it is.
 _BESIDES_ARTICLE = _NO_ARTICLE | frozenset("disqus replies respond".split())
 _CONTAINERS = frozenset("div section article main td center span dd".split())
+_PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 _GOOD = frozenset("article content post entry story main body text".split())
 # Elements that the start of another one ends.
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -62,13 +66,31 @@ _SPLIT = re.compile(r"[^A-Za-z]+|(?<=[a-z])(?=[A-Z])")
 class _Node:
     """An element. ``hidden``: its text is left out in any case; ``named``: by its name, unless the article is inside
     (1), or only where no article is outside either (2). ``full`` and ``told`` are the lengths of the text that is not
-    hidden, all of it and that in articles; ``size`` is that of the text kept."""
-
-    __slots__ = ("tag", "path", "parent", "hidden", "named", "dropped", "full", "told", "size", "bonus")
+    hidden, all of it and that in articles; ``size`` is that of the text kept, ``prose`` that of kept headings and
+    paragraphs that lie in no smaller container. ``key`` is a hash of the path."""
+
+    __slots__ = ("tag", "name", "key", "parent", "hidden", "named", "dropped", "full", "told", "size", "prose", "bonus", "inside")
+
+    def __init__(self, tag: str, name: str, parent: _Node | None, hidden: bool, named: int, bonus: float):
+        self.tag, self.name, self.parent, self.hidden, self.named, self.bonus = tag, name, parent, hidden, named, bonus
+        self.key = zlib.crc32(f"/{name}".encode(), parent.key) if parent else 0
+        self.dropped, self.full, self.told, self.size, self.prose, self.inside = hidden, 0, 0, 0, 0, False
+
+    @property
+    def path(self) -> str:
+        """The names from the top down; put together on demand, since they grow with the depth."""
+        names, node = [], self
+        while node.parent is not None:
+            names.append(node.name)
+            node = node.parent
+        return "".join(f"/{n}" for n in reversed(names))
 
-    def __init__(self, tag: str, path: str, parent: _Node | None, hidden: bool, named: int, bonus: float):
-        self.tag, self.path, self.parent, self.hidden, self.named, self.bonus = tag, path, parent, hidden, named, bonus
-        self.dropped, self.full, self.told, self.size = hidden, 0, 0, 0
+    def container(self) -> _Node:
+        """The next element upwards that may hold an article."""
+        node = self
+        while node.parent is not None and node.tag not in _CONTAINERS and node.tag != "body":
+            node = node.parent
+        return node
 
 
 def _tags(page: str) -> Iterator[tuple[str, str, str]]:
@@ -83,8 +105,11 @@ def _tags(page: str) -> Iterator[tuple[str, str, str]]:
         if following == "!" or following == "?":
             if start > at:
                 yield "text", page[at:start], ""
-            if page.startswith("<!--", start):
-                close = page.find("-->", start + 4)
+            if page.startswith(("<!-->", "<!--->"), start):
+                at = page.find(">", start) + 1
+            elif page.startswith(("<!--", "<![CDATA["), start):
+                mark = "-->" if page[start + 2] == "-" else "]]>"
+                close = page.find(mark, start + 4)
                 at = end if close < 0 else close + 3
             else:
                 close = page.find(">", start)
@@ -149,11 +174,11 @@ def _shape(tag: str, attributes: str) -> tuple[str, bool, int, bool, float]:
         tag in _DROPPED
         or tag in _RAW
         or "hidden" in found
-        or found.get("aria-hidden", "").lower() == "true"
-        or role in _ROLES
         or re.search(r"display\s*:\s*none", found.get("style", ""), re.I) is not None
     )
-    named = 2 if beside & _BESIDES_ARTICLE else 1 if beside else 0
+    # A form or a part of another role may be wrapped around the whole page.
+    wraps = tag == "form" or role in _ROLES or found.get("aria-hidden", "").lower() == "true"
+    named = 2 if beside & _BESIDES_ARTICLE else 1 if beside or wraps else 0
     bonus = 1.5 if tag in ("article", "main") or role in ("main", "article") else 1.3 if words & _GOOD else 1.0
     if tag in ("body", "html"):
         bonus = 0.6
@@ -164,7 +189,7 @@ def _shape(tag: str, attributes: str) -> tuple[str, bool, int, bool, float]:
 def _node(tag: str, attributes: str, parent: _Node, in_article: bool) -> _Node:
     """The element with its generalised path, and whether its text is left out."""
     name, dropped, named, outside, bonus = _shape(tag, attributes)
-    return _Node(tag, f"{parent.path}/{name}", parent, parent.hidden or dropped or (outside and not in_article), named, bonus)
+    return _Node(tag, name, parent, parent.hidden or dropped or (outside and not in_article), named, bonus)
 
 
 def _settle(elements: list[_Node], root: _Node) -> None:
@@ -186,8 +211,8 @@ def _settle(elements: list[_Node], root: _Node) -> None:
         node.dropped |= node.parent.dropped
 
 
-def blocks(page: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
-    """The page's kept blocks with the containers around each, and all containers."""
+def blocks(page: str) -> tuple[list[tuple[str, _Node]], list[_Node]]:
+    """The page's kept blocks with the innermost element of each, and all elements, outer ones first."""
     root = _Node("", "", None, False, 0, 0.0)
     stack, elements, out, text = [root], [], [], []
 
@@ -196,10 +221,9 @@ def blocks(page: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
             joined = " ".join("".join(text).split())
             text.clear()
             if joined:
-                for node in stack:
-                    node.full += len(joined)
-                    node.told += len(joined) if articles else 0
-                out.append((joined, stack[1:]))
+                stack[-1].full += len(joined)
+                stack[-1].told += len(joined) if articles else 0
+                out.append((joined, stack[-1]))
 
     inline_dropped: list[str] = []  # open inline elements whose text is left out, and those inside them
     articles = 0
@@ -245,31 +269,64 @@ def blocks(page: str) -> tuple[list[tuple[str, list[_Node]]], list[_Node]]:
                     del stack[i:]
                     break
     flush()
+    for node in reversed(elements):
+        node.parent.full += node.full
+        node.parent.told += node.told
     _settle(elements, root)
-    out = [(block, above) for block, above in out if not above or not above[-1].dropped]
-    for block, above in out:
-        for node in above:
-            node.size += len(block)
-    return out, [n for n in elements if not n.dropped and (n.tag in _CONTAINERS or n.tag == "body")]
-
-
-def best_path(nodes: list[_Node]) -> tuple[str, float]:
-    """Path and score of the best container; the first of equal ones."""
-    best, score = "", 0.0
-    for node in nodes:
-        if node.size * node.bonus > score:
-            best, score = node.path, node.size * node.bonus
+    out = [(block, node) for block, node in out if not node.dropped]
+    for block, node in out:
+        node.size += len(block)
+        if node.tag in _PROSE:
+            node.container().prose += len(block)
+    for node in reversed(elements):
+        node.parent.size += node.size
+    return out, elements
+
+
+def best_container(elements: list[_Node]) -> tuple[_Node | None, float]:
+    """The container of highest score, the first of equal ones, and the score.
+
+    An element around it is taken instead when all that this adds are headings and paragraphs of its own.
+    """
+    best, score = None, 0.0
+    for node in elements:
+        if not node.dropped and (node.tag in _CONTAINERS or node.tag == "body") and node.size * node.bonus > score:
+            best, score = node, node.size * node.bonus
+    node = best
+    while node is not None and node.parent is not None:
+        node = node.parent
+        if node.dropped or node.size - best.size > node.prose:
+            break
+        if node.size > best.size and (node.tag in _CONTAINERS or node.tag == "body"):
+            best = node
     return best, score
 
 
+def best_path(elements: list[_Node]) -> tuple[str, float]:
+    """Path and score of the best container."""
+    best, score = best_container(elements)
+    return (best.path, score) if best else ("", 0.0)
+
+
 def extract(page: str, path: str | None = None) -> str:
     """The blocks inside the containers of ``path``, else of the page's own best container."""
-    found, nodes = blocks(page)
-    if path is None or not any(n.path == path and n.size for n in nodes):
-        path = best_path(nodes)[0]
-    if not path:
-        return "\n\n".join(b for b, _ in found)
-    return "\n\n".join(b for b, above in found if any(n.path == path for n in above))
+    found, elements = blocks(page)
+
+    def marked(wanted: str) -> bool:
+        key, some = zlib.crc32(wanted.encode()), False
+        for node in elements:
+            # Most keys differ; only equal ones are spelled out.
+            here = node.key == key and not node.dropped and (node.tag in _CONTAINERS or node.tag == "body") and node.path == wanted
+            node.inside = node.parent.inside or here
+            some |= here and node.size > 0
+        return some
+
+    if path is None or not marked(path):
+        path = best_path(elements)[0]
+        if not path:
+            return "\n\n".join(block for block, _ in found)
+        marked(path)
+    return "\n\n".join(block for block, node in found if node.inside)
 
 
 def main_text(pages: DataFrame, url: str, page: str, keep: list[str]) -> DataFrame:
@@ -277,10 +334,15 @@ def main_text(pages: DataFrame, url: str, page: str, keep: list[str]) -> DataFra
 
     A null page is empty and gives an empty text. Pages with a null or unreadable url share the
     empty host. Repeated rows are extracted alike. A host's ties go to the higher score, then the
-    greater path. Kept columns named ``text``, ``path``, ``host`` or ``html`` must be renamed first.
+    greater path. Kept columns named ``text`` or ``path`` are replaced. An empty table gives no rows. A page
+    of any length is one row and is read once for the vote and once for the text.
     """
     shipped(pages.sparkSession)
-    rows = pages.select(*keep, host(pages[url]).alias("host"), whole(pages[page]).alias("html"))
+    keep = [c for c in keep if c not in ("text", "path")]
+    names = [f"k{i}" for i in range(len(keep))]
+    rows = pages.select(
+        *[pages[c].alias(n) for c, n in zip(keep, names)], host(pages[url]).alias("host"), whole(pages[page]).alias("html")
+    )
 
     def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,12 +367,11 @@ def main_text(pages: DataFrame, url: str, page: str, keep: list[str]) -> DataFra
     def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [extract(t.as_py(), p.as_py()) for t, p in zip(batch.column("html"), batch.column("path"))]
-            kept = [batch.column(c) for c in keep]
+            kept = [batch.column(n) for n in names]
             yield pa.RecordBatch.from_arrays(
-                [*kept, pa.array(texts, pa.string()), batch.column("path")], [*keep, "text", "path"]
+                [*kept, pa.array(texts, pa.string()), batch.column("path")], [*names, "text", "path"]
             )
 
-    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in keep)
-    return rows.join(winners, "host", "left").select(*keep, "html", "path").mapInArrow(
-        take, f"{kinds}, text string, path string"
-    )
+    kinds = "".join(f"{n} {rows.schema[n].dataType.simpleString()}, " for n in names)
+    found = rows.join(winners, "host", "left").select(*names, "html", "path").mapInArrow(take, f"{kinds}text string, path string")
+    return found.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "text", "path")
