@@ -83,12 +83,12 @@ def copies(
         ((digits + 0.5) / 65536).alias("mix_offset"),
     )
     by_size = group_offsets(sizes, ["mix_source"], "mix_size", "n").drop("n")
-    by_size = by_size.withColumnRenamed("before", "smaller").join(wanted, "mix_source")
+    by_size = by_size.withColumnRenamed("before", "mix_smaller").join(wanted, "mix_source")
     places = group_offsets(blocks, ["mix_source", "mix_size"], "mix_block", "n").drop("n")
-    places = places.join(by_size, ["mix_source", "mix_size"])
+    places = places.withColumnRenamed("before", "mix_before").join(by_size, ["mix_source", "mix_size"])
     in_block = Window.partitionBy("mix_source", "mix_size", "mix_block").orderBy(F.col(key))
     placed = rows.join(places, ["mix_source", "mix_size", "mix_block"]).withColumn(
-        "mix_rank", F.row_number().over(in_block) + F.col("before") + F.col("smaller")
+        "mix_rank", F.row_number().over(in_block) + F.col("mix_before") + F.col("mix_smaller")
     )
     passed = lambda rank: F.floor(F.col("mix_rate") * rank + F.col("mix_offset"))
     taken = passed(F.col("mix_rank")) - passed(F.col("mix_rank") - 1)

@@ -358,6 +358,8 @@ def near_groups(
     rows and rows of one key with different texts are rows of their own. Other columns are not
     used; an empty table gives no rows. Shingles are compared as 64-bit hashes.
     """
+    if not 50 <= percent <= 100:
+        raise ValueError("percent must be 50 to 100: sizes further apart would not meet")
     shipped(docs.sparkSession)
     sets = _sets(docs, key, text, k)
     rows = written(prefixes(sets, percent, counters), "sets")

@@ -33,6 +33,11 @@ CHUNKS = (
 )
 
 
+def _uri(path: str) -> str:
+    """Spark also writes ``file:/a`` and plain paths; pyarrow opens ``file:///a``."""
+    return path if "://" in path else "file://" + path.removeprefix("file:")
+
+
 def base32(sha1: bytes) -> str:
     return base64.b32encode(sha1).decode()
 
@@ -97,7 +102,7 @@ def write(records: DataFrame, folder: str) -> DataFrame:
 
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = f"{folder}/{uuid.uuid4().hex}.warc.gz"
-        system, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        system, inner = fs.FileSystem.from_uri(_uri(path))
         out = zipped = None
         n = 0
         for batch in batches:
@@ -206,7 +211,7 @@ def read(archives: DataFrame, chunk: int = CHUNK_BYTES, payload: bool = True) ->
 
         for batch in batches:
             for path in batch.column("path").to_pylist():
-                system, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+                system, inner = fs.FileSystem.from_uri(_uri(path))
                 rows, held = [], 0
                 with system.open_input_stream(inner, compression=None) as stream:
                     for row in records_of(stream, chunk):

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import public_tokenizers
@@ -15,7 +16,7 @@ from tests.llm import brute
 
 RNG = random.Random(5)
 WORDS = ["".join(RNG.choice("abcdefgh") for _ in range(RNG.randint(2, 7))) for _ in range(400)]
-CLASH = "node int, n int, block string, d int, r int, size long, mix_size long, spans int, kept int, host string, piece int, _low string"
+CLASH = "node int, n int, block string, d int, r int, size long, mix_size long, spans int, kept int, host string, piece int, _low string, before int, smaller int, mix_before int, sd long, found int, covered int, pd int, c0 int"
 
 
 def prose(n, seed):
@@ -87,6 +88,18 @@ def test_repeats(spark, split_rows):
     assert repeats.without_repeats(empty(spark), "doc_id", "text").count() == 0
 
 
+def test_repeats_with_many_null_keys(spark):
+    """A third of the rows without a key, many of them alike, are no group of their own."""
+    rows = [(None if i % 3 == 0 else i, f"{prose(12, i % 400)} {PASSAGE if i % 50 == 0 else ''}") for i in range(3000)]
+    start = time.time()
+    cut = repeats.without_repeats(frame(spark, rows), "doc_id", "text").select("doc_id", "text", "kept").collect()
+    assert time.time() - start < 120
+    expected = sorted(((k, t, kept) for (k, t), (kept, _) in zip(rows, brute.repeats(rows, 50))), key=repr)
+    assert sorted(((r[0], r[1], bytes(r[2])) for r in cut), key=repr) == expected
+    with pytest.raises(ValueError, match="whole numbers"):
+        repeats.without_repeats(spark.createDataFrame([("a", "b")], "doc_id string, text string"), "doc_id", "text")
+
+
 def test_long_documents_are_parsed_in_stretches(monkeypatch):
     import numpy as np
 
@@ -479,3 +492,10 @@ def test_sketches_estimate_and_merge(spark):
     x, y = brute.shingles(a, 5), brute.shingles(both.first()["b"], 5)
     assert abs(row["near"] - len(x & y) / len(x | y)) < 0.15 and abs(row["n"] / len(x) - 1) < 0.3
     assert abs(row["inside"] - len(x & y) / len(x)) < 0.2 and row["back"] and row["same"]
+
+
+def test_paths_and_limits_that_are_refused_or_read_alike(spark):
+    assert {warc._uri(p) for p in ("/a/b", "file:/a/b", "file:///a/b")} == {"file:///a/b"}
+    assert warc._uri("s3://b/a") == "s3://b/a"
+    with pytest.raises(ValueError, match="percent"):
+        nearjoin.near_groups(empty(spark), "doc_id", "text", percent=40)
