@@ -33,7 +33,7 @@ LENGTH = 50
 PERIOD = 256  # mean distance of phrase starts
 SEED = 24  # longer: fewer chance meetings, more samples (two of every LENGTH - SEED + 2 bytes)
 SPLIT_ROWS = 100_000  # above so many places (about 150 MB in a task), a sample is compared by Spark joins
-_AT_ONCE = 1 << 21
+_AT_ONCE = 1 << 19
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _BYTES = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.uint64)
 _BYTES_2 = np.random.default_rng(8).integers(0, 1 << 63, 256, dtype=np.uint64)
