@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import zipfile
 from pathlib import Path
@@ -76,6 +77,16 @@ def shipped(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def released(spark: SparkSession) -> None:
+    """Let go of the shuffle files of queries that others ran, as a caller who writes an operator's result.
+
+    Spark removes a plan's shuffle files once the driver's garbage collector finds the plan unused, and a
+    driver that has little to do collects rarely.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 # Takes a plan's shuffle files away as soon as its query has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -87,6 +98,7 @@ def written(df: DataFrame, label: str) -> DataFrame:
     all steps would pile up on the executors' disks.
     """
     spark = df.sparkSession
+    released(spark)
     path = scratch_path(spark, label)
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
@@ -115,6 +127,6 @@ def group_offsets(counts: DataFrame, groups: list[str], block: str, n: str) -> D
 
 
 __all__ = [
-    "SPACE", "WORD", "group_offsets", "held", "let", "lower_ascii", "n_words", "shingle_hashes", "shipped",
+    "SPACE", "WORD", "group_offsets", "held", "let", "lower_ascii", "n_words", "released", "shingle_hashes", "shipped",
     "spread_key", "whole", "words", "written",
 ]
