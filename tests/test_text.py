@@ -1,5 +1,6 @@
 import itertools
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -44,6 +45,18 @@ def test_duplicates_only_at_one_position(spark):
     assert len(df.select(X.dedupe_at_position("p")).first()[0]) == 2
 
 
+def test_duplicates_go_in_order_and_at_any_length(spark):
+    rows = [(2, "b"), (None, "a"), (2, "a"), None, (2, "b"), (1, None), (None, "a"), (1, None), None, (1, "b")]
+    df = spark.createDataFrame([(rows,), ([],), (None,)], "p array<struct<pos:int,term:string>>")
+    got = [r[0] if r[0] is None else [x and tuple(x) for x in r[0]] for r in df.select(X.dedupe_at_position("p")).collect()]
+    assert got == [[(2, "b"), (None, "a"), (2, "a"), None, (1, None), (1, "b")], [], None]
+    # Compared pair by pair, these took minutes.
+    long = F.transform(F.sequence(F.lit(0), F.lit(199_999)), lambda i: F.struct(F.floor(i / 4).alias("pos"), (i % 2).alias("term")))
+    began = time.monotonic()
+    assert one(spark, F.size(X.dedupe_at_position(long))) == 100_000
+    assert time.monotonic() - began < 20
+
+
 def test_synonyms(spark):
     got = one(spark, X.with_synonyms(F.array(F.lit("BTC"), F.lit("crypto"), F.lit("x"))))
     assert got == ["btc", "bitcoin", "crypto", "cryptocurrency", "cryptographic", "cryptography", "x"]
