@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 Model = Callable[[list[str]], Sequence[Sequence[float]]]
 
+_AT_ONCE = 256  # texts that a model gets in one call
+
 
 @dataclass(frozen=True)
 class Provider:
@@ -34,13 +36,17 @@ class Provider:
 
 
 def embedded(text: Column | str, provider: Provider) -> Column:
-    """Vectors of a text column, in Arrow batches; null texts count as empty."""
+    """Vectors of a text column, in Arrow batches of which a model sees some texts at a time; null texts count as empty."""
 
-    @F.pandas_udf(T.ArrayType(T.FloatType()))
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.FloatType()))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = provider.load()
         for texts in batches:
-            yield pd.Series(provider.vectors(model, texts.fillna("").tolist()), index=texts.index, dtype=object)
+            for at in range(0, len(texts), _AT_ONCE):
+                some = ["" if x is None else x for x in texts.slice(at, _AT_ONCE).to_pylist()]
+                found = provider.vectors(model, some)
+                ends = np.arange(len(found) + 1, dtype=np.int32) * provider.dimension
+                yield pa.ListArray.from_arrays(ends, pa.array(np.concatenate(found), from_pandas=True))
 
     return run(text)
 
@@ -48,10 +54,18 @@ def embedded(text: Column | str, provider: Provider) -> Column:
 def with_vectors(
     df: DataFrame, text: str, provider: Provider, vector: str = "embedding", model: str = "vector_model", dimensions: str = "dimensions"
 ) -> DataFrame:
-    """``df`` with the vector, the model's name and the dimension; columns of these names are replaced."""
-    return df.withColumns({
-        vector: embedded(text, provider), model: F.lit(provider.model_name), dimensions: F.lit(provider.dimension)
-    })
+    """``df`` with the vector, the model's name and the dimension; columns of these names are replaced.
+
+    The vectors leave through a generator of one row. As a plain column, Spark would run the model once more
+    for every filter on them, as it adds where they are exploded.
+    """
+    made = "_vector"
+    while made in (c.lower() for c in df.columns):
+        made += "_"
+    rows = df.select("*", F.inline(F.array(F.struct(embedded(text, provider).alias(made)))))
+    return rows.withColumns({
+        vector: F.col(made), model: F.lit(provider.model_name), dimensions: F.lit(provider.dimension)
+    }).drop(made)
 
 
 def query_vector(text: str, provider: Provider) -> list[float]:

@@ -353,13 +353,15 @@ def embed_udf(t: Tables) -> DataFrame:
 
 
 def hashed_words():
-    """A model with a state of its own: buckets of the words it has met, made anew in every task."""
+    """A model with a state of its own: buckets of words it has met, made anew in every task and when there are many."""
     import hashlib
 
     seen: dict[str, int] = {}
 
     def bucket(word: str) -> int:
         if word not in seen:
+            if len(seen) >= 100_000:
+                seen.clear()
             seen[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % 64
         return seen[word]
 

@@ -1,6 +1,7 @@
 """Stored suggestions against the scan, and embedding providers."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from docsieve.functions import provider as M
 from docsieve.operators import spelling as L
@@ -45,6 +46,17 @@ def test_a_model_is_loaded_once_a_task_and_carries_its_name(spark):
     assert M.query_vector("abc", M.Provider("lengths", 2, counting())) == [3.0, 1.0]
 
 
+def test_a_model_runs_once_a_row_on_some_texts_at_a_time(spark):
+    provider = M.Provider("calls", 2, lambda: lambda texts: [[float(len(t)), float(len(texts))] for t in texts])
+    df = spark.createDataFrame([(i, "x" * (i % 7) if i % 7 else None, "v") for i in range(1000)], "id int, text string, _vector string")
+    made = M.with_vectors(df.coalesce(1), "text", provider, vector="TEXT")
+    assert made.columns == ["id", "TEXT", "_vector", "vector_model", "dimensions"]
+    assert {(r["id"], r["TEXT"][0], r["_vector"]) for r in made.collect()} == {(i, float(i % 7), "v") for i in range(1000)}
+    assert made.agg(F.max(F.col("TEXT")[1])).first()[0] <= 256
+    dims = made.select("id", F.posexplode("TEXT").alias("dim", "x")).where("x > 0")
+    assert dims._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
 @pytest.mark.parametrize("model, message", [
     (lambda texts: [[1.0]] * len(texts), "its dimension is 2"), (lambda texts: [[1.0, 2.0]], "gave 1 vectors for 3 texts"),
 ])
