@@ -26,16 +26,19 @@ def term_places(terms: Column) -> Column:
 
         def cut(starts: Column) -> Column:
             def one(i: Column, n: Column) -> Column:
-                size = F.coalesce(F.get(starts, n + 1), F.size(placed)) - i
-                at = F.transform(F.slice(placed, i + 1, size), lambda x: x["p"])
-                gaps = let(at, lambda ps: F.transform(ps, lambda p, j: p - F.when(j == 0, 0).otherwise(F.get(ps, j - 1))))
-                return F.struct(F.get(placed, i)["t"].alias("term"), gaps.alias("gaps"))
+                end = F.coalesce(F.get(starts, n + 1), F.size(placed))
+                first = F.get(placed, i)
+                gap = lambda j: F.get(placed, j)["p"] - F.when(j == i, 0).otherwise(F.get(placed, j - 1)["p"])
+                # Most terms stand once in a text.
+                gaps = F.when(end == i + 1, F.array(first["p"])).otherwise(F.transform(F.sequence(i, end - 1), gap))
+                return F.struct(first["t"].alias("term"), gaps.alias("gaps"))
 
             return F.transform(starts, one)
 
         return let(heads, cut)
 
-    return let(F.array_sort(F.transform(terms, lambda t, i: F.struct(t.alias("t"), i.alias("p")))), runs)
+    # sort_array orders like array_sort, which calls an expression per comparison.
+    return let(F.sort_array(F.transform(terms, lambda t, i: F.struct(t.alias("t"), i.alias("p")))), runs)
 
 
 def places(gaps: Column) -> Column:

@@ -41,6 +41,21 @@ def test_places_come_back_from_their_gaps(spark):
     assert none == []
 
 
+def test_gaps_of_many_terms_and_no_expression_per_comparison(spark):
+    rng = random.Random(5)
+    rows = [(i, [rng.choice("abcdéZ") * rng.randint(1, 2) for _ in range(n)]) for i, n in enumerate((0, 1, 2, 50, 400))]
+    made = spark.createDataFrame([*rows, (5, None)], "i int, t array<string>").select("i", "t", P.term_places(F.col("t")).alias("x"))
+    for i, terms, got in made.collect():
+        if terms is None:
+            assert got is None
+            continue
+        at = {t: [p for p, u in enumerate(terms) if u == t] for t in terms}
+        assert [(r["term"], r["gaps"]) for r in got] == [
+            (t, [b - a for a, b in zip([0, *at[t]], at[t])]) for t in sorted(at, key=str.encode)
+        ]
+    assert "array_sort(" not in made._jdf.queryExecution().analyzed().toString()
+
+
 def test_only_the_terms_folders_are_read(spark, stored):
     plan = P.phrase(spark, stored, "red ring", "id")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "bucket#" in plan[plan.index("PartitionFilters") :].split("]")[0]
