@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from docsieve.llm.common import written
 
+_EDGES_A_FILE = 50_000
+_LEAST_FILES = 12
+
 
 def _least(edges: DataFrame) -> DataFrame:
     """(u, v, m): every edge with the smallest of u's neighbours; counted before it is joined."""
@@ -44,4 +47,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
                 current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
         state = mark
-        current = written(_small_star(_large_star(current)), "edges")
+        # Few edges in many shuffle partitions would make a small file of each, every round.
+        files = max(_LEAST_FILES, mark[0] // _EDGES_A_FILE + 1)
+        current = written(_small_star(_large_star(current)).coalesce(files), "edges")

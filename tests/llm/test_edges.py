@@ -77,6 +77,22 @@ def test_components(spark):
     assert {r["node"]: r["root"] for r in found.collect()} == root
 
 
+def test_rounds_of_components_write_files_by_their_edges(spark):
+    edges = spark.range(1, 3000).select(F.col("id").alias("a"), (F.col("id") - F.least(F.col("id") % 5, F.lit(1))).alias("b"))
+    settings = {"spark.sql.shuffle.partitions": "50", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = components.components(edges)
+        rows = found.collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {tuple(r) for r in rows} == {(i, i - i % 5) for i in range(3000)} and len(rows) == 3000
+    assert len(found.inputFiles()) <= 12
+
+
 @pytest.mark.parametrize("split_rows", [20_000, 0])
 def test_repeats(spark, split_rows):
     expected = sorted(
