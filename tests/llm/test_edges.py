@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from docsieve.llm import components, fingerprints, htmltext, licenses, mixing, nearjoin, packing, quality, repeats, urls, warc
 from docsieve.llm.common import n_words, whole
+from docsieve.session import scratch_path
 from tests.llm import brute
 
 RNG = random.Random(5)
@@ -93,6 +94,15 @@ def test_rounds_of_components_write_files_by_their_edges(spark):
     assert len(found.inputFiles()) <= 12
 
 
+def test_a_round_of_components_reads_its_edges_eight_times_at_most(spark):
+    edges = spark.createDataFrame([(2, 1), (3, 1), (3, 2), (5, 4), (6, 5)], "u long, v long")
+    edges.write.parquet(path := scratch_path(spark, "round"))
+    done = components._small_star(components._large_star(spark.read.parquet(path)))
+    assert sorted(tuple(r) for r in done.collect()) == [(2, 1), (3, 1), (5, 4), (6, 4)]
+    plan = done._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") <= 8 and plan.count("Join Inner") <= 3
+
+
 @pytest.mark.parametrize("split_rows", [20_000, 0])
 def test_repeats(spark, split_rows):
     expected = sorted(
