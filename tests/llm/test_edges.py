@@ -94,6 +94,17 @@ def test_rounds_of_components_write_files_by_their_edges(spark):
     assert len(found.inputFiles()) <= 12
 
 
+def test_components_that_are_stars_need_no_round(spark, monkeypatch):
+    rounds = []
+    monkeypatch.setattr(components, "_large_star", lambda edges, f=components._large_star: rounds.append(1) or f(edges))
+    stars = [(1, 2), (3, 1), (1, 3), (5, 4), (5, 5), (None, 4), (7, None)]
+    found = components.components(spark.createDataFrame(stars, "a long, b long"))
+    assert sorted(tuple(r) for r in found.collect()) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4)] and not rounds
+    assert components.components(spark.createDataFrame([], "a long, b long")).count() == 0 and not rounds
+    found = components.components(spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "a long, b long"))
+    assert {tuple(r) for r in found.collect()} == {(i, 1) for i in range(1, 5)} and rounds
+
+
 def test_a_round_of_components_reads_its_edges_eight_times_at_most(spark):
     edges = spark.createDataFrame([(2, 1), (3, 1), (3, 2), (5, 4), (6, 5)], "u long, v long")
     edges.write.parquet(path := scratch_path(spark, "round"))
