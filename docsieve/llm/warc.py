@@ -68,7 +68,7 @@ def record_table(pages: DataFrame, key: str, url: str, payload: str, min_bytes:
     ).withColumn("data", F.substring("data", F.col("chunk") * chunk + 1, F.lit(chunk)))
 
 
-def _uri(url: str | None) -> str:
+def _target(url: str | None) -> str:
     return urllib.parse.quote(url or "", safe=":/?#[]@!$&'()*+,;=%~")
 
 
@@ -78,7 +78,7 @@ def _header(row: dict) -> bytes:
     lines.append(f"WARC-Record-ID: <{_RECORD}{'' if row['record'] is None else urllib.parse.quote(row['record'], safe='')}>")
     lines.append("WARC-Date: 1970-01-01T00:00:00Z")
     if row["url"] is not None:
-        lines.append(f"WARC-Target-URI: {_uri(row['url'])}")
+        lines.append(f"WARC-Target-URI: {_target(row['url'])}")
     lines.append(f"WARC-Payload-Digest: sha1:{digest}")
     if row["refers_to"] is None:
         size = len(_HTTP_HEAD) + row["n_bytes"]
