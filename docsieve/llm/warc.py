@@ -35,7 +35,9 @@ CHUNKS = (
 
 def _uri(path: str) -> str:
     """Spark also writes ``file:/a`` and plain paths; pyarrow opens ``file:///a``."""
-    return path if "://" in path else "file://" + path.removeprefix("file:")
+    if "://" in path:
+        return path
+    return "file://" + (path.removeprefix("file:") if path.startswith("file:") else urllib.parse.quote(path))
 
 
 def base32(sha1: bytes) -> str:

@@ -531,6 +531,12 @@ def test_sketches_estimate_and_merge(spark):
     assert abs(row["inside"] - len(x & y) / len(x)) < 0.2 and row["back"] and row["same"]
 
 
+def test_a_path_with_a_space_is_one_folder():
+    for path in ("/tmp/a b", "file:/tmp/a%20b"):
+        assert warc.fs.FileSystem.from_uri(warc._uri(path))[1] == "/tmp/a b"
+    assert warc._target("http://h/a b") == "http://h/a%20b"
+
+
 def test_paths_and_limits_that_are_refused_or_read_alike(spark):
     assert {warc._uri(p) for p in ("/a/b", "file:/a/b", "file:///a/b")} == {"file:///a/b"}
     assert warc._uri("s3://b/a") == "s3://b/a"
